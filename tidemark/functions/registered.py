@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from tidemark.functions.grades import PASS_BY_SUBJECT, PASS_OTHERWISE
 from tidemark.functions.times import MONTHS
@@ -33,7 +34,7 @@ def register_sql_functions(spark: SparkSession) -> None:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS {result} RETURN {body}")
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def has_passed(grade: pd.Series, subject: pd.Series) -> pd.Series:
     """The pass rule as an Arrow-batched user function, for callers who bring their own Python rules."""
     result = grade.str.startswith(tuple(PASS_OTHERWISE))

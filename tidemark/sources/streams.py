@@ -44,10 +44,12 @@ def replayed_broker(spark: SparkSession, path: str, files_per_trigger: int | Non
 
 def table_stream(spark: SparkSession, path: str, schema: StructType | str | None = None,
                  files_per_trigger: int | None = None) -> DataFrame:
-    """A parquet table as a stream of its files; ``path`` is a file, a folder or a pattern."""
+    """A parquet table, a folder or one file, as a stream of its files."""
     if schema is None:
         schema = spark.read.parquet(path).schema
-    return _file_stream(spark, files_per_trigger).schema(schema).parquet(path)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    # Written as a pattern, the path may be a single file too.
+    return _file_stream(spark, files_per_trigger).schema(schema).parquet(f"{folder}/{{{name}}}")
 
 
 def line_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
