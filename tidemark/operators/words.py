@@ -29,7 +29,9 @@ def title_word_counts(df: DataFrame, title: str = "title") -> DataFrame:
 
 
 def mentions(posts: DataFrame, text: str = "text", prefix: str = "@") -> DataFrame:
-    """Posts with the first mention in them; posts without one are left out."""
-    return posts.withColumn("mention", texts.first_token(F.col(text), prefix)).where(
-        F.col("mention").isNotNull()
-    )
+    """Posts with the first mention in them; posts without one are left out.
+
+    Exploding the mention, if any, finds it once per post; a null filter would look for it twice.
+    """
+    found = F.array_compact(F.array(texts.first_token(F.col(text), prefix)))
+    return posts.select("*", F.explode(found).alias("mention"))

@@ -15,9 +15,13 @@ ACCOUNT_SCHEMA = (
 
 def json_columns(messages: DataFrame, schema: StructType | str, column: str = "value",
                  keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns of a JSON payload (binary or text); a payload that is no JSON object gives nulls."""
-    payload = F.from_json(F.col(column).cast("string"), schema).alias("payload")
-    return messages.select(*keep, payload).select(*keep, "payload.*")
+    """Columns of a JSON payload (binary or text); a payload that is no JSON object gives nulls.
+
+    ``inline`` keeps the parsed payload apart from later filters: otherwise the optimizer would copy the parsing
+    into every filter on one of its fields and parse each message more than once.
+    """
+    payload = F.from_json(F.col(column).cast("string"), schema)
+    return messages.select(*keep, F.inline(F.array(payload)))
 
 
 def csv_columns(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:

@@ -37,11 +37,14 @@ class _Timed(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
 
-    def _set_timer(self, us: int | None) -> None:
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        if us is not None:
-            self.handle.registerTimer(_milliseconds(us))
+    def _move_timer(self, old_us: int | None, new_us: int | None) -> None:
+        """Replace a key's timer. Every call to the state store costs a round trip, so equal times are left alone."""
+        old, new = (None if us is None else _milliseconds(us) for us in (old_us, new_us))
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            if new is not None:
+                self.handle.registerTimer(new)
 
     def close(self) -> None:
         pass
@@ -57,7 +60,10 @@ class UnitProcessor(_Timed):
         super().init(handle)
         self.open_unit = handle.getValueState("open_unit", "n bigint, first_us bigint, last_us bigint")
 
-    def _ends_at(self, first_us: int, last_us: int) -> int | None:
+    def _ends_at(self, held: tuple[int, int, int] | None) -> int | None:
+        if held is None:
+            return None
+        _, first_us, last_us = held
         if self.rule.idle is not None:
             return last_us + self.rule.idle
         return None if self.rule.deadline is None else first_us + self.rule.deadline
@@ -70,7 +76,8 @@ class UnitProcessor(_Timed):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         us = _sorted_rows(rows)["us"].to_numpy()
         done: list[tuple[int, int, int]] = []
-        start, held = 0, self.open_unit.get() if self.open_unit.exists() else None
+        start, held = 0, self.open_unit.get()
+        before = held
         if held is not None:
             n, first_us, last_us = held
             start = self.rule.continues(us, n, first_us, last_us)
@@ -85,18 +92,17 @@ class UnitProcessor(_Timed):
             found = [(int(e - s), int(rest[s]), int(rest[e - 1])) for s, e in zip(opened, ends[opened])]
             held = None if found[-1][0] == self.rule.size else found.pop()
             done += found
-        if held is None:
-            self.open_unit.clear()
-            self._set_timer(None)
-        else:
+        if held is not None:
             self.open_unit.update(held)
-            self._set_timer(self._ends_at(*held[1:]))
+        elif before is not None:
+            self.open_unit.clear()
+        self._move_timer(self._ends_at(before), self._ends_at(held))
         if done:
             yield self._frame(key, done)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open_unit.exists():
-            held = self.open_unit.get()
+        held = self.open_unit.get()
+        if held is not None:
             self.open_unit.clear()
             yield self._frame(key, [tuple(held)])
 
@@ -115,30 +121,31 @@ class OnceProcessor(_Timed):
         self.seen = handle.getValueState("seen", "n bigint, first_us bigint, finished boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, first_us, finished = self.seen.get() if self.seen.exists() else (0, None, False)
+        n, first_us, finished = self.seen.get() or (0, None, False)
         us = _sorted_rows(rows)["us"].to_numpy()
         if finished:
             return
+        old_timer = None if first_us is None else first_us + self.deadline_us
         if first_us is None:
             first_us = int(us[0])
-            self._set_timer(first_us + self.deadline_us)
         taken = us[us < first_us + self.deadline_us][: self.size - n]
         n += len(taken)
         finished = n == self.size or len(taken) < len(us)
         self.seen.update((n, first_us, finished))
+        self._move_timer(old_timer, self._forget_at(first_us) if finished else first_us + self.deadline_us)
         if n == self.size:
             yield pd.DataFrame({"key": [key[0]], "n": [n], "first_us": [first_us], "last_us": [int(taken[-1])]})
 
+    def _forget_at(self, first_us: int) -> int | None:
+        return None if self.forget_us is None else first_us + self.deadline_us + self.forget_us
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.seen.exists():
-            n, first_us, _ = self.seen.get()
-            forget_at = None if self.forget_us is None else first_us + self.deadline_us + self.forget_us
-            if forget_at is not None and expiredTimerInfo.getExpiryTimeInMs() >= _milliseconds(forget_at):
-                self.seen.clear()
-            else:
-                self.seen.update((n, first_us, True))
-                if forget_at is not None:
-                    self._set_timer(forget_at)
+        n, first_us, finished = self.seen.get()
+        if finished:
+            self.seen.clear()
+        else:
+            self.seen.update((n, first_us, True))
+            self._move_timer(None, self._forget_at(first_us))
         return iter(())
 
 
@@ -153,10 +160,13 @@ class MemberProcessor(_Timed):
         columns = ", ".join(f"`{name}` {kind}" for name, kind in self.payload.items())
         self.members = handle.getListState("members", f"us bigint, seq bigint, {columns}")
 
+    def _given_up_at(self, unit: pd.DataFrame) -> int | None:
+        return int(unit["us"].iloc[-1]) + self.rule.idle if len(unit) else None
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = ["us", "seq", *self.payload]
         new = _sorted_rows(rows)[names]
-        kept = pd.DataFrame(list(self.members.get()), columns=names) if self.members.exists() else new[:0]
+        kept = pd.DataFrame(list(self.members.get()), columns=names)
         # The open unit came before the new rows, so it stays in front of them.
         every = pd.concat([kept, new], ignore_index=True) if len(kept) else new
         ends = self.rule.ends(every["us"].to_numpy())
@@ -166,11 +176,9 @@ class MemberProcessor(_Timed):
         rest = every[last:]
         if len(rest):
             self.members.put([tuple(row) for row in rest.itertuples(index=False)])
-            limit = self.rule.idle
-            self._set_timer(None if limit is None else int(rest["us"].iloc[-1]) + limit)
-        else:
+        elif len(kept):
             self.members.clear()
-            self._set_timer(None)
+        self._move_timer(self._given_up_at(kept), self._given_up_at(rest))
         if full:
             found = every.iloc[np.concatenate([np.arange(s, e) for s, e in full])][list(self.payload)]
             found.insert(0, "key", key[0])
