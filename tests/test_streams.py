@@ -3,6 +3,7 @@
 import os
 import time
 from datetime import timedelta
+from functools import partial
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -17,7 +18,7 @@ from tidemark.session import shared_folder
 from tidemark.sources import streams
 from tidemark.streaming import sinks
 from tidemark.streaming import units as stream_units
-from tidemark.streaming.replay import replay, replay_branches
+from tidemark.streaming.replay import replay, replay_branches, replay_in_slices, time_slices
 
 BASE = 1_700_000_000 * SECOND  # a time above the first watermark, which is the year 1970
 SCHEMA = "key bigint, us bigint, id bigint"
@@ -55,16 +56,33 @@ def closed(found):
 @pytest.mark.parametrize("limit", [{"idle": timedelta(seconds=30)}, {"deadline": timedelta(seconds=90)}])
 def test_units_over_six_triggers_equal_the_batch_form(spark, timed_files, limit):
     folder, _ = timed_files
-    found = replay(stream_units.units(stream_of(spark, folder), "key", "ts", "id", 10, **limit), "append")
+    found = replay(stream_units.units(stream_of(spark, folder), "key", "ts", 10, **limit), "append")
     batch = spark.read.schema(SCHEMA).parquet(folder).select("key", F.timestamp_micros("us").alias("ts"), "id")
     expected = batch_units.units(batch, "key", "ts", "id", 10, flush=False, partitions=5, **limit)
     assert closed(found) == closed(expected)
     assert {r.status for r in found.select("status").distinct().collect()} == {"completed", "timed_out"}
 
 
+@pytest.mark.parametrize("slice_rows, spans", [(10_000, 1), (200, 5)])
+def test_slices_of_time_give_the_same_units(spark, tmp_path, slice_rows, spans):
+    """The table is written in no order at all; a third and more of its rows belong to one key."""
+    events = [(key, BASE + us, number) for key, us, number in skewed_events(6, 900, 20, 100_000)]
+    spark.createDataFrame(events, SCHEMA).selectExpr("key", "timestamp_micros(us) AS ts", "id").write.parquet(
+        str(tmp_path / "table")
+    )
+    rows = spark.read.parquet(str(tmp_path / "table"))
+    assert len(time_slices(rows, "ts", slice_rows)) == spans
+    limit = {"idle": timedelta(seconds=5000)}
+    found = replay_in_slices(
+        rows, "ts", lambda stream: stream_units.units(stream, "key", "ts", 10, **limit),
+        partial(replay, mode="append"), slice_rows,
+    )
+    assert closed(found) == closed(batch_units.units(rows, "key", "ts", "id", 10, flush=False, **limit))
+
+
 def test_branches_write_each_output_once(spark, timed_files):
     folder, _ = timed_files
-    stream = stream_units.units(stream_of(spark, folder), "key", "ts", "id", 10, deadline=timedelta(seconds=90))
+    stream = stream_units.units(stream_of(spark, folder), "key", "ts", 10, deadline=timedelta(seconds=90))
     timed_out = F.col("status") == "timed_out"
     found = replay_branches(stream, "append", {"full": ~timed_out, "late": timed_out})
     pairs = {(r.branch, r.status) for r in found.select("branch", "status").distinct().collect()}
@@ -76,7 +94,7 @@ def test_a_restart_goes_on_with_the_open_units(spark, tmp_path):
     kept = {"folder": shared_folder(spark, "results"), "checkpoint": shared_folder(spark, "query")}
 
     def run():
-        stream = stream_units.units(stream_of(spark, folder), "key", "ts", "id", 3, idle=timedelta(seconds=10))
+        stream = stream_units.units(stream_of(spark, folder), "key", "ts", 3, idle=timedelta(seconds=10))
         return as_rows(replay(stream, "append", **kept))
 
     def as_rows(found):
@@ -132,8 +150,8 @@ def test_sliding_windows_from_panes_equal_direct_windows(spark, timed_files):
 
 def test_copies_are_dropped_within_the_bound(spark, tmp_path):
     folder = str(tmp_path / "in")
-    write_file(folder, 0, [(1, 0, 0), (1, SECOND, 0), (2, 0, 1)])
-    write_file(folder, 1, [(1, 2 * SECOND, 0), (2, 0, 2)])
+    write_file(folder, 0, [(1, i * SECOND, 0) for i in range(50)] + [(2, 0, 1)])
+    write_file(folder, 1, [(1, 52 * SECOND, 0), (2, 0, 2)])
     found = replay(windows.first_of_each(stream_of(spark, folder), "ts", ["key", "id"], "1 hour"), "append")
     assert sorted((r.key, r.id) for r in found.collect()) == [(1, 0), (2, 1), (2, 2)]
 

@@ -34,9 +34,8 @@ def skewed_events(seed, rows, keys, span_s):
     ]
 
 
-@pytest.mark.parametrize("size", [1, 3, 10])
 @pytest.mark.parametrize("bound", [None, ("idle", 4), ("idle", 40), ("deadline", 5), ("deadline", 60)])
-@pytest.mark.parametrize("partitions", [1, 7, 40])
+@pytest.mark.parametrize("size, partitions", [(1, 7), (3, 40), (10, 1), (10, 7)])
 def test_units_over_cut_keys_equal_the_simulation(spark, size, bound, partitions):
     events = skewed_events(size * 100 + partitions, 600, 12, 900)
     limits = {} if bound is None else {bound[0]: timedelta(seconds=bound[1])}

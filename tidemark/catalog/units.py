@@ -1,6 +1,9 @@
 """Grouping events into units, as batches and as replayed streams."""
 
 from datetime import timedelta
+from functools import partial
+
+from pyspark.sql import functions as F
 
 from tidemark.catalog import stand_ins as given
 from tidemark.catalog.registry import registered
@@ -8,7 +11,7 @@ from tidemark.catalog.texts import _wall_clock
 from tidemark.operators import units
 from tidemark.plans import reconciliation as recon
 from tidemark.streaming import units as stream_units
-from tidemark.streaming.replay import replay, replay_branches
+from tidemark.streaming.replay import replay, replay_branches, replay_in_slices
 
 # Settings that give both full and timed-out units on the test events, which span 30 days.
 SIZE = 10
@@ -93,14 +96,24 @@ def units_exact_members(spark, folder):
     return found.select("windowId", "counter", "account.*")
 
 
+def _replayed(spark, folder, columns, build, run=partial(replay, mode="append")):
+    """The events, in slices of time, through a stateful job."""
+
+    def instants(rows):
+        return build(rows.withColumn("ts", F.col("ts").cast("timestamp")))
+
+    return replay_in_slices(given.events(spark, folder).select("ts", *columns), "ts", instants, run)
+
+
 @registered(
     "stream_units_idle",
     f"{_IDLE} SELECT * FROM u WHERE n = 10 OR last_ts + INTERVAL 24 hour <= (SELECT max(ts) FROM events)",
 )
 def stream_units_idle(spark, folder):
-    rows = given.event_stream(spark, folder)
-    found = stream_units.units(rows, "user_id", "ts", "event_id", SIZE, idle=IDLE)
-    return _wall_clock(replay(found, "append"), "first_ts", "last_ts")
+    found = _replayed(
+        spark, folder, ["user_id"], lambda rows: stream_units.units(rows, "user_id", "ts", SIZE, idle=IDLE)
+    )
+    return _wall_clock(found, "first_ts", "last_ts")
 
 
 @registered(
@@ -110,25 +123,31 @@ def stream_units_idle(spark, folder):
 )
 def stream_units_deadline(spark, folder):
     """Full and timed-out units go to outputs of their own."""
-    rows = given.event_stream(spark, folder)
-    found = stream_units.units(rows, "user_id", "ts", "event_id", SIZE, deadline=DEADLINE)
     branches = {"completed": ~recon.is_timed_out(), "timed_out": recon.is_timed_out()}
-    return _wall_clock(replay_branches(found, "append", branches), "first_ts", "last_ts")
+    found = _replayed(
+        spark, folder, ["user_id"], lambda rows: stream_units.units(rows, "user_id", "ts", SIZE, deadline=DEADLINE),
+        partial(replay_branches, mode="append", branches=branches),
+    )
+    return _wall_clock(found, "first_ts", "last_ts")
 
 
 @registered("stream_units_once", _ONCE)
 def stream_units_once(spark, folder):
-    rows = given.event_stream(spark, folder)
-    found = stream_units.once_units(rows, "user_id", "ts", "event_id", SIZE, DEADLINE, forget=GIVE_UP)
-    return _wall_clock(replay(found, "append"), "first_ts", "last_ts")
+    found = _replayed(
+        spark, folder, ["user_id"],
+        lambda rows: stream_units.once_units(rows, "user_id", "ts", SIZE, DEADLINE, forget=GIVE_UP),
+    )
+    return _wall_clock(found, "first_ts", "last_ts")
 
 
 @registered("stream_units_exact_members", _MEMBERS)
 def stream_units_exact_members(spark, folder):
-    """Members are kept as text-free columns in the state and written once their unit is full."""
-    rows = _accounts(given.event_stream(spark, folder)).select("*", "account.*")
-    found = stream_units.exact_members(
-        rows, "windowId", "timestamp", "offset", SIZE,
-        ["counter", "accountNumber", "accountName", "balance"], idle=GIVE_UP,
-    )
-    return replay(found, "append")
+    """Members wait in the state as columns and are written once their unit is full."""
+
+    def members(rows):
+        return stream_units.exact_members(
+            _accounts(rows).select("*", "account.*"), "windowId", "timestamp", "offset", SIZE,
+            ["counter", "accountNumber", "accountName", "balance"], idle=GIVE_UP,
+        )
+
+    return _replayed(spark, folder, ["user_id", "event_id", "event_type", "value"], members)

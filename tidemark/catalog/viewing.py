@@ -88,8 +88,12 @@ def stream_view_sliding(spark, folder):
 
 @registered(
     "stream_newest_window",
-    "SELECT * FROM (" + _sliding("60 minute", "1 minute", 60, "course_name", "sum(5)::BIGINT AS seconds")
-    + ") WHERE window_end = (SELECT max(time_bucket(INTERVAL 1 minute, ts)) + INTERVAL 60 minute FROM events)",
+    """
+    SELECT w.last - INTERVAL 60 minute AS window_start, w.last AS window_end, event_type AS course_name,
+           sum(5)::BIGINT AS seconds
+    FROM events, (SELECT max(time_bucket(INTERVAL 1 minute, ts)) + INTERVAL 1 minute AS last FROM events) w
+    WHERE ts >= w.last - INTERVAL 60 minute GROUP BY ALL
+    """,
 )
 def stream_newest_window(spark, folder):
     messages = given.view_records(given.event_stream(spark, folder))

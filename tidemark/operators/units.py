@@ -278,7 +278,7 @@ def _walked(events: DataFrame, key: str, ts: str, order: str, rule: UnitRule, me
     entering = F.broadcast(entering.withColumnsRenamed({"key": "of_key", "part": "of_part"}))
     rows = laid_out.join(
         entering, (F.col("part") == F.col("of_part")) & F.col("key").eqNullSafe(F.col("of_key")), "left"
-    ).drop("of_key", "of_part", "part")
+    ).drop("of_key", "of_part", "part", "seq")
     if members:
         kept = "".join(f", `{name}` {laid_out.schema[name].dataType.simpleString()}" for name in payload)
         schema = f"key {key_type}{kept}, unit_no bigint, n bigint"

@@ -55,12 +55,21 @@ def running(df: DataFrame, *keys: str, **totals: Column) -> DataFrame:
     return df.groupBy(*keys).agg(*(c.alias(n) for n, c in totals.items()))
 
 
-def newest(windows: DataFrame) -> DataFrame:
-    """Only the window that ended last: what a job prints at each slide."""
-    last = windows.agg(F.max("window_end").alias("window_end"))
-    return windows.join(F.broadcast(last), "window_end")
+def newest_of_panes(pane_totals: DataFrame, size: str, slide: str, *keys: str, totals: list[str]) -> DataFrame:
+    """Only the window that ends with the last pane: what a job shows at each slide. Reads just that window's panes."""
+    end = pane_totals.agg((F.max("pane") + F.expr(f"INTERVAL {slide}")).alias("window_end")).select(
+        (F.col("window_end") - F.expr(f"INTERVAL {size}")).alias("window_start"), "window_end"
+    )
+    covered = pane_totals.join(F.broadcast(end), F.col("pane") >= F.col("window_start"))  # one row is broadcast
+    return covered.groupBy("window_start", "window_end", *keys).agg(*(F.sum(n).alias(n) for n in totals))
+
 
+def first_of_each(df: DataFrame, ts: str, keys: list[str], within: str, salts: int = 16) -> DataFrame:
+    """One row per key on a stream, as long as copies come no further than ``within`` apart.
 
-def first_of_each(df: DataFrame, ts: str, keys: list[str], within: str) -> DataFrame:
-    """One row per key on a stream, as long as copies come no further than ``within`` apart."""
-    return df.withWatermark(ts, within).dropDuplicatesWithinWatermark(keys)
+    Copies are first dropped in ``salts`` shares per key, so a key with very many copies is worked on by that many
+    tasks and reaches the final step as a few rows.
+    """
+    share = F.pmod(F.xxhash64(ts), F.lit(salts))
+    thinned = df.withWatermark(ts, within).withColumn("_share", share).dropDuplicatesWithinWatermark([*keys, "_share"])
+    return thinned.drop("_share").dropDuplicatesWithinWatermark(keys)

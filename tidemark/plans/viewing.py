@@ -70,8 +70,9 @@ def sliding_seconds(panes: DataFrame, size: str = "60 minutes", slide: str = "1
 
 
 def newest_seconds(panes: DataFrame, size: str = "60 minutes", slide: str = "1 minute") -> DataFrame:
-    """Only the window that ended last, most watched first: what a job shows at each slide."""
-    return windows.newest(sliding_seconds(panes, size, slide)).orderBy(F.desc("seconds"), "course_name")
+    """Only the window up to the last view, most watched first: what a job shows at each slide."""
+    newest = windows.newest_of_panes(panes, size, slide, "course_name", totals=["seconds"])
+    return newest.orderBy(F.desc("seconds"), "course_name")
 
 
 def levels_of_lines(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.times import to_micros
 from tidemark.operators.rows import stacked
 from tidemark.session import settings, shared_folder
+from tidemark.sources.streams import table_stream
 from tidemark.streaming import sinks
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -18,12 +20,13 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 def _started(stream: DataFrame, partitions: int | None, start) -> None:
     """Start under the settings a stateful query fixes for the life of its checkpoint, and wait for its end.
 
-    State lives in RocksDB (off-heap, incremental checkpoints). ``partitions`` is the number of state partitions.
+    State lives in RocksDB, off the heap, and a micro-batch saves only its changes. ``partitions`` is the number of state partitions.
     """
     spark = stream.sparkSession
     with settings(
         spark,
         spark__sql__streaming__stateStore__providerClass=STATE_STORE,
+        spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
         spark__sql__shuffle__partitions=partitions,
     ):
         query = start()
@@ -57,11 +60,12 @@ def stored(spark: SparkSession, folder: str, schema: StructType, mode: str, keys
     return latest.select(*keys, "latest.*").select(*schema.names)
 
 
-def replay_branches(stream: DataFrame, mode: str, branches: Mapping[str, Column],
-                    partitions: int | None = None) -> DataFrame:
+def replay_branches(stream: DataFrame, mode: str, branches: Mapping[str, Column], *, partitions: int | None = None,
+                    folder: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Replay into several outputs; the result stacks them under a column ``branch``."""
     spark = stream.sparkSession
-    folder, checkpoint = shared_folder(spark, "results"), shared_folder(spark, "query")
+    folder = folder or shared_folder(spark, "results")
+    checkpoint = checkpoint or shared_folder(spark, "query")
     _started(
         stream, partitions,
         lambda: sinks.to_branches(stream, mode, branches, folder, checkpoint, sinks.ALL_THERE_IS),
@@ -70,3 +74,35 @@ def replay_branches(stream: DataFrame, mode: str, branches: Mapping[str, Column]
         spark.read.schema(stream.schema).parquet(f"{folder}/{name}/batch_id=*").withColumn("branch", F.lit(name))
         for name in branches
     ))
+
+
+def time_slices(rows: DataFrame, ts: str, slice_rows: int) -> list[Column]:
+    """Conditions that cut a table into consecutive spans of time with about ``slice_rows`` rows each."""
+    slices = -(-rows.count() // slice_rows)
+    if slices < 2:
+        return [F.lit(True)]
+    kind = rows.schema[ts].dataType.simpleString()
+    shares = [i / slices for i in range(1, slices)]
+    # One bounded sketch over the whole table; only the cutting points come back.
+    cuts = rows.agg(F.percentile_approx(to_micros(F.col(ts)), shares, 100 * slices)).first()[0]
+    bounds = [F.timestamp_micros(F.lit(cut)).cast(kind) for cut in sorted(set(cuts))]
+    first, last = F.col(ts) < bounds[0], F.col(ts) >= bounds[-1]
+    between = [(F.col(ts) >= lower) & (F.col(ts) < upper) for lower, upper in zip(bounds, bounds[1:])]
+    return [first, *between, last]
+
+
+def replay_in_slices(rows: DataFrame, ts: str, build: Callable[[DataFrame], DataFrame],
+                     run: Callable[..., DataFrame], slice_rows: int = 50_000_000) -> DataFrame:
+    """Replay a table through a job whose state follows each key in order, a span of time after the other.
+
+    Rows arrive in time order whatever the table's layout, and no micro-batch holds more than about ``slice_rows``
+    rows, which bounds what one busy key can bring into one call. ``build`` makes the job from the arriving rows,
+    ``run`` is a replay with everything set but the folders.
+    """
+    spark = rows.sparkSession
+    arriving = shared_folder(spark, "arriving")
+    folders = {"folder": shared_folder(spark, "results"), "checkpoint": shared_folder(spark, "query")}
+    for condition in time_slices(rows, ts, slice_rows):
+        rows.where(condition).write.mode("append").parquet(arriving)
+        found = run(build(table_stream(spark, arriving, rows.schema)), **folders)
+    return found

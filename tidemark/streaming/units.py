@@ -24,8 +24,8 @@ from tidemark.operators.unit_rules import UnitRule, walk
 from tidemark.operators.units import micros, status
 
 
-def _sorted_rows(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows)).sort_values(["us", "seq"], ignore_index=True)
+def _sorted_times(rows: Iterator[pd.DataFrame]) -> np.ndarray:
+    return np.sort(np.concatenate([some["us"].to_numpy() for some in rows]))
 
 
 def _milliseconds(us: int) -> int:
@@ -74,7 +74,7 @@ class UnitProcessor(_Timed):
         return pd.DataFrame({"key": [key[0]] * len(units), "n": n, "first_us": first, "last_us": last})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        us = _sorted_rows(rows)["us"].to_numpy()
+        us = _sorted_times(rows)
         done: list[tuple[int, int, int]] = []
         start, held = 0, self.open_unit.get()
         before = held
@@ -122,7 +122,7 @@ class OnceProcessor(_Timed):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n, first_us, finished = self.seen.get() or (0, None, False)
-        us = _sorted_rows(rows)["us"].to_numpy()
+        us = _sorted_times(rows)
         if finished:
             return
         old_timer = None if first_us is None else first_us + self.deadline_us
@@ -160,27 +160,32 @@ class MemberProcessor(_Timed):
         columns = ", ".join(f"`{name}` {kind}" for name, kind in self.payload.items())
         self.members = handle.getListState("members", f"us bigint, seq bigint, {columns}")
 
-    def _given_up_at(self, unit: pd.DataFrame) -> int | None:
-        return int(unit["us"].iloc[-1]) + self.rule.idle if len(unit) else None
+    def _given_up_at(self, last_us: int) -> int:
+        return last_us + self.rule.idle
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = ["us", "seq", *self.payload]
-        new = _sorted_rows(rows)[names]
-        kept = pd.DataFrame(list(self.members.get()), columns=names)
+        parts = [some[names] for some in rows]
+        new = parts[0] if len(parts) == 1 else pd.concat(parts)
+        new = new.iloc[np.lexsort((new["seq"].to_numpy(), new["us"].to_numpy()))]
+        kept = list(self.members.get())
         # The open unit came before the new rows, so it stays in front of them.
-        every = pd.concat([kept, new], ignore_index=True) if len(kept) else new
+        every = pd.concat([pd.DataFrame(kept, columns=names), new]) if kept else new
         ends = self.rule.ends(every["us"].to_numpy())
         opened = walk(ends, 0)
         full = [(s, e) for s, e in zip(opened, ends[opened]) if e - s == self.rule.size]
         last = opened[-1] if ends[opened[-1]] - opened[-1] < self.rule.size else len(every)
         rest = every[last:]
         if len(rest):
-            self.members.put([tuple(row) for row in rest.itertuples(index=False)])
-        elif len(kept):
+            self.members.put(list(rest.itertuples(index=False, name=None)))
+        elif kept:
             self.members.clear()
-        self._move_timer(self._given_up_at(kept), self._given_up_at(rest))
+        self._move_timer(
+            self._given_up_at(kept[-1][0]) if kept else None,
+            self._given_up_at(int(rest["us"].iloc[-1])) if len(rest) else None,
+        )
         if full:
-            found = every.iloc[np.concatenate([np.arange(s, e) for s, e in full])][list(self.payload)]
+            found = every[list(self.payload)].take(np.concatenate([np.arange(s, e) for s, e in full]))
             found.insert(0, "key", key[0])
             yield found
 
@@ -189,15 +194,15 @@ class MemberProcessor(_Timed):
         return iter(())
 
 
-def _grouped(events: DataFrame, key: str, ts: str, order: str, late: str, payload: list[str] = ()):
-    rows = events.withWatermark(ts, late).select(
-        F.col(key).alias("key"), ts, to_micros(F.col(ts)).alias("us"), F.col(order).alias("seq"), *payload
+def _grouped(events: DataFrame, key: str, ts: str, late: str, *payload):
+    rows = events.where(F.col(ts).isNotNull()).withWatermark(ts, late).select(
+        F.col(key).alias("key"), ts, to_micros(F.col(ts)).alias("us"), *payload
     )
     return rows.groupBy("key"), rows.schema["key"].dataType.simpleString(), rows
 
 
-def _units(events: DataFrame, key: str, ts: str, order: str, late: str, size: int, processor) -> DataFrame:
-    groups, key_type, _ = _grouped(events, key, ts, order, late)
+def _units(events: DataFrame, key: str, ts: str, late: str, size: int, processor) -> DataFrame:
+    groups, key_type, _ = _grouped(events, key, ts, late)
     found = groups.transformWithStateInPandas(
         processor, f"key {key_type}, n bigint, first_us bigint, last_us bigint", "append", "EventTime"
     )
@@ -207,27 +212,25 @@ def _units(events: DataFrame, key: str, ts: str, order: str, late: str, size: in
     )
 
 
-def units(events: DataFrame, key: str, ts: str, order: str, size: int, *, idle: timedelta | None = None,
+def units(events: DataFrame, key: str, ts: str, size: int, *, idle: timedelta | None = None,
           deadline: timedelta | None = None, late: str = "0 seconds") -> DataFrame:
     """Units as they end: ``key, n, status, first_ts, last_ts``. One of ``idle`` and ``deadline`` must be given,
     or unfinished units would stay for good."""
     if (idle is None) == (deadline is None):
         raise ValueError("give either idle or deadline")
     rule = UnitRule(size, micros(idle), micros(deadline))
-    return _units(events, key, ts, order, late, size, UnitProcessor(rule))
+    return _units(events, key, ts, late, size, UnitProcessor(rule))
 
 
-def once_units(events: DataFrame, key: str, ts: str, order: str, size: int, deadline: timedelta, *,
+def once_units(events: DataFrame, key: str, ts: str, size: int, deadline: timedelta, *,
                forget: timedelta | None = None, late: str = "0 seconds") -> DataFrame:
-    return _units(
-        events, key, ts, order, late, size, OnceProcessor(size, micros(deadline), micros(forget))
-    )
+    return _units(events, key, ts, late, size, OnceProcessor(size, micros(deadline), micros(forget)))
 
 
 def exact_members(events: DataFrame, key: str, ts: str, order: str, size: int, payload: list[str], *,
                   idle: timedelta, late: str = "0 seconds") -> DataFrame:
     """The events of units that got exactly ``size`` events: ``key, <payload>``."""
-    groups, key_type, rows = _grouped(events, key, ts, order, late, payload)
+    groups, key_type, rows = _grouped(events, key, ts, late, F.col(order).alias("seq"), *payload)
     kinds = {name: rows.schema[name].dataType.simpleString() for name in payload}
     columns = ", ".join(f"`{name}` {kind}" for name, kind in kinds.items())
     return groups.transformWithStateInPandas(
