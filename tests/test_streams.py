@@ -2,6 +2,7 @@
 
 import os
 import time
+from collections import Counter
 from datetime import timedelta
 from functools import partial
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tests.test_units_batch import SECOND, skewed_events
 from tidemark.operators import units as batch_units
 from tidemark.operators import windows
-from tidemark.plans import viewing
+from tidemark.plans import mentions, viewing
 from tidemark.session import shared_folder
 from tidemark.sources import streams
 from tidemark.streaming import sinks
@@ -148,6 +149,17 @@ def test_sliding_windows_from_panes_equal_direct_windows(spark, timed_files):
     assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, paned.collect()))
 
 
+def test_complete_mode_ranks_on_the_stream_itself(spark, timed_files):
+    folder, events = timed_files
+    posts = stream_of(spark, folder).select(
+        F.col("ts").alias("timestamp"), F.concat(F.lit("hi @"), F.col("key").cast("string")).alias("text")
+    )
+    found = replay(mentions.trending(mentions.mention_windows(posts), 3), "complete").collect()
+    assert len(found) == 3
+    counts = Counter((key, (BASE + us) // (300 * SECOND)) for key, us, _ in events)
+    assert sorted((r["count"] for r in found), reverse=True) == sorted(counts.values(), reverse=True)[:3]
+
+
 def test_copies_are_dropped_within_the_bound(spark, tmp_path):
     folder = str(tmp_path / "in")
     write_file(folder, 0, [(1, i * SECOND, 0) for i in range(50)] + [(2, 0, 1)])

@@ -63,6 +63,20 @@ def test_members_carry_the_final_size_across_partitions(spark):
     assert {(r.key, r.unit_no): r.n for r in tagged} == sizes
 
 
+def test_text_keys_and_nested_payload(spark):
+    events = skewed_events(2, 300, 6, 200)
+    rows = frame(spark, events).selectExpr("concat('k', key) AS key_text", "ts", "id", "struct(id AS a, ts AS b) AS both")
+    found = U.units(rows, "key_text", "ts", "id", 4, idle=timedelta(seconds=9), partitions=11)
+    named = {(f"k{key}", *rest) for key, *rest in simulated(events, 4, idle=9 * SECOND)}
+    assert {
+        tuple(r)
+        for r in found.selectExpr("key_text", "unit_no", "n", "unix_micros(first_ts)", "unix_micros(last_ts)").collect()
+    } == named
+    members = U.exact_members(rows, "key_text", "ts", "id", 4, ["both"], partitions=11)
+    full = sum(n for _, _, n, _, _ in simulated(events, 4) if n == 4)
+    assert members.count() == full and members.select("both.a").distinct().count() == full
+
+
 def test_null_keys_form_their_own_group(spark):
     events = [(None, i * SECOND, i) for i in range(5)] + [(1, i * SECOND, 10 + i) for i in range(4)]
     found = U.units(frame(spark, events), "key", "ts", "id", 2, partitions=4)

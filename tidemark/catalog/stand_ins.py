@@ -91,3 +91,8 @@ def account_json() -> Column:
 
 def account_messages(rows: DataFrame) -> DataFrame:
     return broker_records(rows, account_json(), "reconcile")
+
+
+def wall_clock(df: DataFrame, *names: str) -> DataFrame:
+    """Instants as the wall-clock type the tables use."""
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in names})

@@ -89,15 +89,10 @@ _TREND = f"""
 """
 
 
-def _wall_clock(df, *names):
-    """Instants as the wall-clock type the test tables use."""
-    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in names})
-
-
 @registered("parse_post_time", f"SELECT id, timestamp FROM ({_POSTS})")
 def parse_post_time(spark, folder):
     posts = trend.posts_of_messages(given.post_messages(given.events(spark, folder)))
-    return _wall_clock(posts.select("id", post_time(F.col("created_at")).alias("timestamp")), "timestamp")
+    return given.wall_clock(posts.select("id", post_time(F.col("created_at")).alias("timestamp")), "timestamp")
 
 
 @registered(
@@ -111,7 +106,7 @@ def mention_counts(spark, folder):
 @registered("mention_top20", _TREND)
 def mention_top20(spark, folder):
     posts = trend.posts_of_messages(given.post_messages(given.events(spark, folder)))
-    return _wall_clock(trend.trending(trend.mention_windows(posts)), "window_start", "window_end")
+    return given.wall_clock(trend.trending(trend.mention_windows(posts)), "window_start", "window_end")
 
 
 @registered("stream_mention_top20", _TREND)
@@ -119,4 +114,4 @@ def stream_mention_top20(spark, folder):
     """Windows are kept up to date by the stream (old ones leave the state); the ranking reads them back."""
     posts = trend.posts_of_messages(given.post_messages(given.event_stream(spark, folder)))
     counts = replay(trend.mention_windows(posts), "update", ["window_start", "window_end", "mention"])
-    return _wall_clock(trend.trending(counts), "window_start", "window_end")
+    return given.wall_clock(trend.trending(counts), "window_start", "window_end")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import stand_ins as given
 from tidemark.catalog.registry import registered
-from tidemark.catalog.texts import _wall_clock
 from tidemark.operators import units
 from tidemark.plans import reconciliation as recon
 from tidemark.streaming import units as stream_units
@@ -67,19 +66,19 @@ _DEADLINE_NOTE = _note("'Timed out'")
 @registered("units_idle", f"{_IDLE} SELECT *, {_NUMBERED}, {_IDLE_NOTE} FROM u")
 def units_idle(spark, folder):
     found = units.units(given.events(spark, folder), "user_id", "ts", "event_id", SIZE, idle=IDLE)
-    return _wall_clock(recon.with_note(found, recon.idle_note("user_id")), "first_ts", "last_ts")
+    return given.wall_clock(recon.with_note(found, recon.idle_note("user_id")), "first_ts", "last_ts")
 
 
 @registered("units_deadline", f"{_DEADLINE} SELECT *, {_NUMBERED}, {_DEADLINE_NOTE} FROM u")
 def units_deadline(spark, folder):
     found = units.units(given.events(spark, folder), "user_id", "ts", "event_id", SIZE, deadline=DEADLINE)
-    return _wall_clock(recon.with_note(found, recon.deadline_note()), "first_ts", "last_ts")
+    return given.wall_clock(recon.with_note(found, recon.deadline_note()), "first_ts", "last_ts")
 
 
 @registered("units_once", _ONCE)
 def units_once(spark, folder):
     found = units.once_units(given.events(spark, folder), "user_id", "ts", "event_id", SIZE, DEADLINE)
-    return _wall_clock(found, "first_ts", "last_ts")
+    return given.wall_clock(found, "first_ts", "last_ts")
 
 
 def _accounts(rows):
@@ -113,7 +112,7 @@ def stream_units_idle(spark, folder):
     found = _replayed(
         spark, folder, ["user_id"], lambda rows: stream_units.units(rows, "user_id", "ts", SIZE, idle=IDLE)
     )
-    return _wall_clock(found, "first_ts", "last_ts")
+    return given.wall_clock(found, "first_ts", "last_ts")
 
 
 @registered(
@@ -128,7 +127,7 @@ def stream_units_deadline(spark, folder):
         spark, folder, ["user_id"], lambda rows: stream_units.units(rows, "user_id", "ts", SIZE, deadline=DEADLINE),
         partial(replay_branches, mode="append", branches=branches),
     )
-    return _wall_clock(found, "first_ts", "last_ts")
+    return given.wall_clock(found, "first_ts", "last_ts")
 
 
 @registered("stream_units_once", _ONCE)
@@ -137,7 +136,7 @@ def stream_units_once(spark, folder):
         spark, folder, ["user_id"],
         lambda rows: stream_units.once_units(rows, "user_id", "ts", SIZE, DEADLINE, forget=GIVE_UP),
     )
-    return _wall_clock(found, "first_ts", "last_ts")
+    return given.wall_clock(found, "first_ts", "last_ts")
 
 
 @registered("stream_units_exact_members", _MEMBERS)

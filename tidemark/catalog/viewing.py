@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import stand_ins as given
 from tidemark.catalog.registry import registered
-from tidemark.catalog.texts import _wall_clock
 from tidemark.functions.registered import register_sql_functions
 from tidemark.operators import windows
 from tidemark.operators.rows import stacked
@@ -35,13 +34,13 @@ def _sliding(size: str, slide: str, copies: int, key: str, total: str) -> str:
 @registered("window_tumbling", _tumbling("2 minute", "seconds_watched"))
 def window_tumbling(spark, folder):
     found = viewing.windowed_seconds_text(given.view_records(given.events(spark, folder)))
-    return _wall_clock(found, "window_start", "window_end")
+    return given.wall_clock(found, "window_start", "window_end")
 
 
 @registered("window_sliding", _sliding("60 minute", "1 minute", 60, "course_name", "sum(5)::BIGINT AS seconds"))
 def window_sliding(spark, folder):
     panes = viewing.pane_seconds(given.view_records(given.events(spark, folder)))
-    return _wall_clock(viewing.sliding_seconds(panes), "window_start", "window_end")
+    return given.wall_clock(viewing.sliding_seconds(panes), "window_start", "window_end")
 
 
 @registered("stream_udf_flag", "SELECT ts AS timestamp, event_id AS value, event_id % 2 = 0 AS even FROM events")
@@ -49,7 +48,7 @@ def stream_udf_flag(spark, folder):
     """A named function over a stream's column, row by row."""
     register_sql_functions(spark)
     rows = given.event_stream(spark, folder).select(F.col("ts").alias("timestamp"), F.col("event_id").alias("value"))
-    return _wall_clock(replay(rows.withColumn("even", F.call_function("is_even", "value")), "append"), "timestamp")
+    return given.wall_clock(replay(rows.withColumn("even", F.call_function("is_even", "value")), "append"), "timestamp")
 
 
 @registered(
@@ -75,7 +74,7 @@ def stream_running_update(spark, folder):
 def stream_window_tumbling(spark, folder):
     messages = given.view_records(given.event_stream(spark, folder))
     found = replay(viewing.windowed_seconds(messages), "update", ["window_start", "window_end", "course_name"])
-    return _wall_clock(found, "window_start", "window_end").orderBy(F.desc("score"), "window_start", "course_name")
+    return given.wall_clock(found, "window_start", "window_end").orderBy(F.desc("score"), "window_start", "course_name")
 
 
 @registered("stream_view_sliding", _sliding("60 minute", "1 minute", 60, "course_name", "sum(5)::BIGINT AS seconds"))
@@ -83,7 +82,7 @@ def stream_view_sliding(spark, folder):
     """The stream keeps one-minute panes; windows are put together from them."""
     messages = given.view_records(given.event_stream(spark, folder))
     panes = replay(viewing.pane_seconds(messages), "update", ["pane", "course_name"])
-    return _wall_clock(viewing.sliding_seconds(panes), "window_start", "window_end")
+    return given.wall_clock(viewing.sliding_seconds(panes), "window_start", "window_end")
 
 
 @registered(
@@ -98,7 +97,7 @@ def stream_view_sliding(spark, folder):
 def stream_newest_window(spark, folder):
     messages = given.view_records(given.event_stream(spark, folder))
     panes = replay(viewing.pane_seconds(messages), "update", ["pane", "course_name"])
-    return _wall_clock(viewing.newest_seconds(panes), "window_start", "window_end")
+    return given.wall_clock(viewing.newest_seconds(panes), "window_start", "window_end")
 
 
 @registered("stream_level_sliding", _sliding("2 minute", "10 second", 12, "level", "count(*) AS count"))
@@ -108,7 +107,7 @@ def stream_level_sliding(spark, folder):
     rows = given.log(spark, folder)
     rows.select(F.concat_ws(",", "level", F.col("datetime").cast("string"))).write.text(lines)
     panes = replay(viewing.pane_levels(streams.line_stream(spark, lines)), "update", ["pane", "level"])
-    return _wall_clock(viewing.sliding_levels(panes), "window_start", "window_end")
+    return given.wall_clock(viewing.sliding_levels(panes), "window_start", "window_end")
 
 
 @registered(

@@ -18,9 +18,13 @@ def letter_words(df: DataFrame, text: str = "value") -> DataFrame:
 
 
 def keyword_counts(df: DataFrame, text: str = "value", stop_words=texts.STOP_WORDS) -> DataFrame:
-    """Lower-cased words with their counts, without the stop words (a list, or a one-column table)."""
+    """Lower-cased words with their counts, without the stop words (a list, or a one-column table).
+
+    Stop words are taken out of the counts: a list is a filter, which Spark moves in front of the counting, and a
+    table too large to broadcast is joined with one row per word instead of one per occurrence.
+    """
     words = letter_words(df, text).select(F.lower("word").alias("word"))
-    return counted(without_listed(words, "word", stop_words), "word")
+    return without_listed(counted(words, "word"), "word", stop_words)
 
 
 def title_word_counts(df: DataFrame, title: str = "title") -> DataFrame:

@@ -17,12 +17,21 @@ from tidemark.streaming import sinks
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _fitting_partitions(spark: SparkSession) -> int | None:
+    """On one machine that left Spark's default of 200 alone: one partition per core. Elsewhere the session's number."""
+    name = "spark.sql.shuffle.partitions"
+    chosen = spark.sparkContext.getConf().contains(name) or spark.conf.get(name) != "200"
+    return None if chosen or not spark.sparkContext.master.startswith("local") else spark.sparkContext.defaultParallelism
+
+
 def _started(stream: DataFrame, partitions: int | None, start) -> None:
     """Start under the settings a stateful query fixes for the life of its checkpoint, and wait for its end.
 
     State lives in RocksDB, off the heap, and a micro-batch saves only its changes. ``partitions`` is the number of state partitions.
     """
     spark = stream.sparkSession
+    if partitions is None:
+        partitions = _fitting_partitions(spark)
     with settings(
         spark,
         spark__sql__streaming__stateStore__providerClass=STATE_STORE,
