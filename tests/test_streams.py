@@ -12,9 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_units_batch import SECOND, skewed_events
+from tidemark.catalog import stand_ins
 from tidemark.operators import units as batch_units
 from tidemark.operators import windows
-from tidemark.plans import mentions, viewing
+from tidemark.plans import mentions, reconciliation, viewing
 from tidemark.session import shared_folder
 from tidemark.sources import streams
 from tidemark.streaming import sinks
@@ -139,6 +140,21 @@ def test_same_function_on_stream_and_batch(spark, timed_files):
     assert sum(r.seconds_watched for r in text) == 5 * len(events)
 
 
+def test_broker_records_replayed_from_files(spark, timed_files, tmp_path):
+    folder, events = timed_files
+    rows = spark.read.schema(SCHEMA).parquet(folder).select(
+        F.col("key").alias("user_id"), F.concat(F.lit("course"), "key").alias("event_type"),
+        F.timestamp_micros("us").alias("ts"), F.col("id").alias("event_id"),
+    )
+    stand_ins.view_records(rows).repartition(3).write.parquet(str(tmp_path / "topic"))
+    messages = streams.replayed_broker(spark, str(tmp_path / "topic"), files_per_trigger=1)
+    found = replay(viewing.running_seconds(messages), "update", ["course_name"])
+    expected = Counter(f"course{key}" for key, _, _ in events)
+    assert {r.course_name: r.score for r in found.collect()} == {k: 5 * n for k, n in expected.items()}
+    typed = reconciliation.events_of_messages(messages)
+    assert typed.isStreaming and dict(typed.dtypes)["key"] == dict(typed.dtypes)["value"] == "string"
+
+
 def test_sliding_windows_from_panes_equal_direct_windows(spark, timed_files):
     folder, _ = timed_files
     rows = spark.read.schema(SCHEMA).parquet(folder).select("key", F.timestamp_micros("us").alias("ts"))

@@ -38,7 +38,3 @@ def passed(
     for name, prefixes in by_subject.items():
         rule = rule.when(subject == name, any_prefix(prefixes))
     return rule.otherwise(any_prefix(otherwise))
-
-
-def is_even(value: Column) -> Column:
-    return value % 2 == 0

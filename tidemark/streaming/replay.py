@@ -18,10 +18,11 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 
 
 def _fitting_partitions(spark: SparkSession) -> int | None:
-    """On one machine that left Spark's default of 200 alone: one partition per core. Elsewhere the session's number."""
+    """One partition per core on a single machine that left Spark's 200 alone; elsewhere the session's number."""
     name = "spark.sql.shuffle.partitions"
     chosen = spark.sparkContext.getConf().contains(name) or spark.conf.get(name) != "200"
-    return None if chosen or not spark.sparkContext.master.startswith("local") else spark.sparkContext.defaultParallelism
+    local = spark.sparkContext.master.startswith("local")
+    return spark.sparkContext.defaultParallelism if local and not chosen else None
 
 
 def _started(stream: DataFrame, partitions: int | None, start) -> None:
@@ -92,8 +93,8 @@ def time_slices(rows: DataFrame, ts: str, slice_rows: int) -> list[Column]:
         return [F.lit(True)]
     kind = rows.schema[ts].dataType.simpleString()
     shares = [i / slices for i in range(1, slices)]
-    # One bounded sketch over the whole table; only the cutting points come back.
-    cuts = rows.agg(F.percentile_approx(to_micros(F.col(ts)), shares, 100 * slices)).first()[0]
+    # One sketch of bounded size over the whole table; only the cutting points come back.
+    cuts = rows.agg(F.percentile_approx(to_micros(F.col(ts)), shares, min(100 * slices, 20_000))).first()[0]
     bounds = [F.timestamp_micros(F.lit(cut)).cast(kind) for cut in sorted(set(cuts))]
     first, last = F.col(ts) < bounds[0], F.col(ts) >= bounds[-1]
     between = [(F.col(ts) >= lower) & (F.col(ts) < upper) for lower, upper in zip(bounds, bounds[1:])]
