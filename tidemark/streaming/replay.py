@@ -66,8 +66,9 @@ def stored(spark: SparkSession, folder: str, schema: StructType, mode: str, keys
         last = rows.agg(F.max("batch_id").alias("batch_id"))
         return rows.join(F.broadcast(last), "batch_id").drop("batch_id").select(*schema.names)
     values = [name for name in schema.names if name not in keys]
-    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("latest"))
-    return latest.select(*keys, "latest.*").select(*schema.names)
+    # Column by column: numbers then stay in hash aggregation, where a struct would need a sort.
+    latest = rows.groupBy(*keys).agg(*(F.max_by(name, "batch_id").alias(name) for name in values))
+    return latest.select(*schema.names)
 
 
 def replay_branches(stream: DataFrame, mode: str, branches: Mapping[str, Column], *, partitions: int | None = None,
