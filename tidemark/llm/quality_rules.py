@@ -27,7 +27,7 @@ THRESHOLDS = (
     ("stop_words", "stop_word_ratio", 0.04, None),
     ("bullets", "bullet_line_ratio", None, 0.9),
     ("ellipses", "ellipsis_line_ratio", None, 0.3),
-    ("repeated_lines", "dup_line_ratio", None, 0.3),
+    ("repeated_lines", "dup_line_ratio", None, 0.5),
     ("repeated_words", "repeat_word_ratio", None, 0.5),
     ("alphabetic", "alpha_word_ratio", 0.7, None),
 )
