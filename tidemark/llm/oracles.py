@@ -100,3 +100,29 @@ named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
     sha256(coalesce(names, '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words_hit ON docs.r = words_hit.r LEFT JOIN named ON docs.r = named.r"""
+
+REPEATED_WORDS = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS words FROM documents),
+windows AS (SELECT r, doc_id, i, array_to_string(words[i:i + 12], ' ') AS w
+    FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM docs WHERE len(words) >= 13)),
+later AS (SELECT r, i FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY w)),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM later),
+counted AS (SELECT r, count(*) AS n, list(p) AS places FROM gone GROUP BY r),
+left_over AS (SELECT r, string_agg(words[p], ' ' ORDER BY p) AS kept FROM (SELECT r, words, unnest(range(1, len(words) + 1)) AS p FROM docs) x
+    WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.r = x.r AND gone.p = x.p) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN counted ON docs.r = counted.r LEFT JOIN left_over ON docs.r = left_over.r"""
+
+REPEATED_BYTES = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS code FROM documents),
+windows AS (SELECT r, i, md5(substr(code, 2 * i + 1, 400)) AS w
+    FROM (SELECT r, code, unnest(range(0, length(code) // 2 - 199)) AS i FROM docs WHERE length(code) >= 400)),
+twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY w) > 1),
+runs AS (SELECT r, i, i - coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -1000000) > 200 AS fresh FROM twice),
+spans AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM (SELECT r, i, sum(fresh::INT) OVER (PARTITION BY r ORDER BY i) AS run FROM runs) GROUP BY r, run),
+gaps AS (SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM spans UNION ALL SELECT r, max(b), NULL FROM spans GROUP BY r),
+kept AS (SELECT g.r, string_agg(substr(code, 2 * a + 1, coalesce(2 * (b - a), length(code))), '' ORDER BY a) AS code FROM gaps g JOIN docs ON docs.r = g.r GROUP BY g.r),
+counted AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, length(docs.code) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(kept.code, docs.code))) AS kept_sha256
+FROM docs LEFT JOIN counted ON docs.r = counted.r LEFT JOIN kept ON docs.r = kept.r"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, oracles, quality_rules, sharding, simhash, url_filter
+from tidemark.llm import decontaminate, mixing, oracles, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,17 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.components(table(spark, folder, "documents").select("doc_id", "text"))
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select(F.col("key").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@registered("op9_substring_dedup", oracles.REPEATED_WORDS)
+def repeated_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of each document that a document with a smaller id has in a window of 13."""
+    found = substring_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@registered("op8_suffix_dedup", oracles.REPEATED_BYTES)
+def repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of each document that strings of 200 bytes cover which start elsewhere too."""
+    found = suffix_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(F.col("key").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")

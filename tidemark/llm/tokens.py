@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -81,19 +80,25 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-@lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_powers: list[np.ndarray] = []
+
+
+def _powers_up_to(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, kept for the largest size asked for."""
+    if not _powers or len(_powers[0]) < size:
+        wide = 1 << max(16, (size - 1).bit_length())
+        made = [np.full(wide, x, np.uint64) for x in (_BASE, _INVERSE)]
+        for x in made:
+            x[0] = 1
+        _powers[:] = [np.multiply.accumulate(x) for x in made]
+    return _powers
 
 
 class RangeHashes:
     """64-bit hashes of any ranges of a sequence; equal ranges hash alike wherever they stand."""
 
     def __init__(self, symbols: np.ndarray):
-        size = 1 << max(16, int(len(symbols)).bit_length())
-        up, self.down = _powers(size)
+        up, self.down = _powers_up_to(len(symbols) + 1)
         self.sums = np.zeros(len(symbols) + 1, np.uint64)
         np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * up[: len(symbols)], out=self.sums[1:])
 
