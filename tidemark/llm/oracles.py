@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, quality_rules, url_filter
+from tidemark.llm import licenses, mixing, quality_rules, url_filter
 
 ASCII_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -126,3 +126,38 @@ counted AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM
 SELECT doc_id, length(docs.code) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
     sha256(unhex(coalesce(kept.code, docs.code))) AS kept_sha256
 FROM docs LEFT JOIN counted ON docs.r = counted.r LEFT JOIN kept ON docs.r = kept.r"""
+
+
+def _licenses() -> str:
+    def rows(values) -> str:
+        return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in values)
+
+    postings = [(label, w, i, len(licenses.rare_words(wording))) for label, wording, _ in licenses.TEMPLATES for w, i in licenses.rare_words(wording)]
+    keys = [(label, p, len(f" {wording} ".split(f" {p} ")[0].split()), len(phrases)) for label, wording, phrases in licenses.TEMPLATES for p in phrases]
+    phrases = [(p, len(p.split())) for p, _, _ in licenses.key_phrases()]
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {PLAIN_WORDS} AS words FROM documents),
+tokens AS (SELECT r, i - 1 AS place, words[i] AS word FROM (SELECT r, words, unnest(range(1, len(words) + 1)) AS i FROM docs)
+    WHERE words[i] IN ({_values(licenses.vocabulary())})),
+phrases(phrase, size) AS (VALUES {rows(phrases)}),
+found AS (SELECT r, phrase, i - 1 AS place FROM (SELECT r, words, phrase, size, unnest(range(1, len(words) - size + 2)) AS i FROM docs, phrases WHERE len(words) >= size)
+    WHERE words[i] = string_split(phrase, ' ')[1] AND array_to_string(words[i:i + size - 1], ' ') = phrase),
+ranks AS (SELECT word, count(DISTINCT r) AS holders FROM tokens GROUP BY word),
+chosen AS (SELECT r, word FROM (SELECT DISTINCT r, word FROM tokens) JOIN ranks USING (word)
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY holders, word) <= {licenses.RAREST}),
+postings(label, word, t_place, t_size) AS (VALUES {rows(postings)}),
+agreed AS (SELECT r, label, place - t_place AS begin, t_size, count(DISTINCT t_place) AS agreeing
+    FROM tokens JOIN chosen USING (r, word) JOIN postings USING (word) GROUP BY ALL HAVING count(DISTINCT t_place) >= least({licenses.AGREEING}, t_size)),
+keys(label, phrase, m_place, m_size) AS (VALUES {rows(keys)}),
+verified AS (SELECT r, label, place - m_place AS begin, m_size FROM found JOIN keys USING (phrase) GROUP BY ALL HAVING count(DISTINCT phrase) = m_size),
+own AS (SELECT r, list(DISTINCT label) AS labels, max(agreeing / t_size) AS share FROM agreed JOIN verified USING (r, label, begin) GROUP BY r),
+names(phrase, label) AS (VALUES {rows(licenses.BASE.items())}),
+base AS (SELECT r, count(*) AS n, min(place) AS a, max(place) AS b, list(DISTINCT label) AS labels FROM found JOIN names USING (phrase) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, b::BIGINT AS last_word,
+    coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+    coalesce(array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(own.labels, []))), ','), '') AS labels,
+    CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM docs LEFT JOIN base ON docs.r = base.r LEFT JOIN own ON docs.r = own.r"""
+
+
+LICENSES = _licenses()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, oracles, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_filter
+from tidemark.llm import decontaminate, licenses, mixing, oracles, pii, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,21 @@ def repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes of each document that strings of 200 bytes cover which start elsewhere too."""
     found = suffix_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select(F.col("key").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@registered("op7_license_scan", oracles.LICENSES)
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    found = licenses.scanned(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("key", "doc_id")
+
+
+@registered("op1_pii")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.found(table(spark, folder, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    return found.select(
+        F.col("key").alias("doc_id"), *map(count, ("email", "ip", "card", "phone")),
+        F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
