@@ -24,6 +24,8 @@ from tidemark.llm.tokens import NOT_BLANK, RangeHashes, flat, pieces, word_bound
 
 WIDTH = 13
 ANCHOR = 4
+#: Fragments of one anchor that may come together in one task, at most 22 words each.
+FAMILY = 20_000
 _LAST = 2**63 - 1
 
 
@@ -41,46 +43,112 @@ def levels(width: int, anchor: int) -> list[int]:
     return lengths[1:]
 
 
-def _windows(texts: DataFrame, width: int, lengths: list[int]) -> DataFrame:
-    """Every window of the listed parts: (row, key, start) and the hashes of its beginnings of the given lengths."""
+def _fragments_of(texts: DataFrame) -> DataFrame:
+    """The word hashes of the listed parts: (anchor, kinds, row, key, start, words)."""
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
                 words, first = _words(piece.column("text"))
-                hashes = RangeHashes(words)
                 parts = piece.column("parts")
                 text = np.repeat(np.arange(len(parts)), np.diff(parts.offsets.to_numpy()))
-                inner = parts.flatten()
-                starts, sizes = inner.field("start").to_numpy(), inner.field("length").to_numpy() - width + 1
-                which = np.repeat(np.arange(len(starts)), sizes)
-                places = starts[which] + np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                at = first[text[which]] + places
-                take = pa.array(text[which])
+                inner, take = parts.flatten(), pa.array(text)
+                sizes = inner.field("length").to_numpy().astype(np.int64)
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                at = np.repeat(first[text] + inner.field("start").to_numpy() - ends[:-1], sizes) + np.arange(ends[-1])
+                listed = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(words[at].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("row").take(take), piece.column("key").take(take), pa.array(places.astype(np.int32)),
-                     *[pa.array(hashes.of(at, at + n).view(np.int64)) for n in lengths]],
+                    [inner.field("anchor"), inner.field("kinds"), piece.column("row").take(take), piece.column("key").take(take), inner.field("start"), listed],
+                    names=["anchor", "kinds", "row", "key", "start", "words"])
+
+    return texts.mapInArrow(run, "anchor long, kinds long, row long, key long, start int, words array<long>")
+
+
+def _window_hashes(batch: pa.RecordBatch, width: int, lengths: list[int]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of every window of the fragments in a batch: fragment, start in it, and hashes of its beginnings by length."""
+    words = batch.column("words")
+    offsets = words.offsets.to_numpy().astype(np.int64)
+    hashes = RangeHashes(words.flatten().to_numpy().view(np.uint64))
+    offsets = offsets - offsets[0]
+    many = np.diff(offsets) - width + 1
+    which = np.repeat(np.arange(len(many)), many)
+    inside = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+    at = offsets[which] + inside
+    return which, inside, [hashes.of(at, at + n) for n in lengths]
+
+
+def _shared(hashes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each hash occurs under another key too, and the least key it occurs under."""
+    _, inverse = np.unique(hashes, return_inverse=True)
+    least, most = np.full(inverse.max(initial=-1) + 1, _LAST), np.full(inverse.max(initial=-1) + 1, -_LAST - 1)
+    np.minimum.at(least, inverse, keys)
+    np.maximum.at(most, inverse, keys)
+    return (least < most)[inverse], least[inverse]
+
+
+def _families(rows: DataFrame, width: int, lengths: list[int]) -> DataFrame:
+    """Repeated windows (row, start, end) among fragments that come sorted by anchor, level by level."""
+    def solve(batch: pa.RecordBatch) -> pa.RecordBatch:
+        which, inside, levels = _window_hashes(batch, width, lengths)
+        keys = batch.column("key").to_numpy()[which]
+        alive = np.arange(len(which))
+        for hashes in levels:
+            shared, least = _shared(hashes[alive], keys[alive])
+            alive, least = alive[shared], least[shared]
+        alive = alive[keys[alive] > least]
+        start = batch.column("start").to_numpy()[which[alive]] + inside[alive]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("row").take(pa.array(which[alive])), pa.array(start.astype(np.int32)), pa.array((start + width).astype(np.int32))],
+            names=["row", "start", "end"])
+
+    def run(batches):
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            anchors = batch.column("anchor").to_numpy()
+            whole = int(np.searchsorted(anchors, anchors[-1])) if len(anchors) else 0
+            if whole:
+                yield solve(pa.Table.from_batches([*waiting, batch.slice(0, whole)]).combine_chunks().to_batches()[0])
+                waiting = []
+            waiting.append(batch.slice(whole))
+        if sum(map(len, waiting)):
+            yield solve(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
+
+    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "row long, start int, end int")
+
+
+def _exploded(rows: DataFrame, width: int, lengths: list[int]) -> DataFrame:
+    """The same for families too large for a task: each window is a row, each level a sum by hash and a join."""
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                which, inside, levels = _window_hashes(part, width, lengths)
+                take = pa.array(which)
+                start = part.column("start").to_numpy()[which] + inside
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("row").take(take), part.column("key").take(take), pa.array(start.astype(np.int32)), *[pa.array(h.view(np.int64)) for h in levels]],
                     names=["row", "key", "start", *[f"h{n}" for n in lengths]])
 
-    schema = "row long, key long, start int, " + ", ".join(f"h{n} long" for n in lengths)
-    return texts.mapInArrow(run, schema)
+    candidates = rows.mapInArrow(run, "row long, key long, start int, " + ", ".join(f"h{n} long" for n in lengths))
+    for length in lengths:
+        name = f"h{length}"
+        ranges = candidates.groupBy(F.col(name).alias("h")).agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
+        survivors = candidates.join(ranges, F.col(name) == F.col("h"))
+        candidates = survivors.drop("h", "least", "most") if length < width else survivors
+    return candidates.where("key > least").select("row", "start", (F.col("start") + width).alias("end"))
 
 
-def repeated_spans(rows: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -> DataFrame:
+def repeated_spans(rows: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, family: int = FAMILY) -> DataFrame:
     """Word spans (row, start, end) that cover exactly the repeated windows of ``rows`` (row, key, text)."""
     wanted = staged(fragments.summed(rows, _words, width, anchor).where("least < most OR kinds > 1"), "substring-fragments")
     lengths = levels(width, anchor)
     places = staged(fragments.occurrences(rows, _words, width, anchor, wanted).select(
-        "row", "start", "length", (F.col("key") > F.col("least")).alias("copy"), "kinds"), "substring-places")
+        "row", "start", "length", (F.col("key") > F.col("least")).alias("copy"), "anchor", "kinds"), "substring-places")
     whole = places.where("copy").select("row", "start", (F.col("start") + F.col("length")).alias("end"))
-    open_places = places.where("NOT copy AND kinds > 1").select("row", "start", "length")
-    candidates = staged(_windows(fragments.with_texts(rows, open_places, "inner"), width, lengths), "substring-windows")
-    for length in lengths:
-        name = f"h{length}"
-        ranges = candidates.groupBy(F.col(name).alias("h")).agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
-        survivors = candidates.join(ranges, F.col(name) == F.col("h"))
-        candidates = survivors.drop("h", "least", "most") if length < width else survivors
-    parts = candidates.where("key > least").select("row", "start", (F.col("start") + width).alias("end"))
-    return whole.unionByName(parts)
+    opened = places.where("NOT copy AND kinds > 1").select("row", "start", "length", "anchor", "kinds")
+    parts = staged(_fragments_of(fragments.with_texts(rows, opened, "inner")), "substring-families")
+    small = _families(parts.where(F.col("kinds") <= family), width, lengths)
+    large = _exploded(parts.where(F.col("kinds") > family), width, lengths)
+    return staged(whole.unionByName(small).unionByName(large), "substring-spans")
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, anchor: int = ANCHOR) -> DataFrame:
