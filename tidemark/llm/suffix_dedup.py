@@ -5,8 +5,8 @@ is removed; overlapping repeats count, and all strings are judged on the input.
 have to be refined over all its bytes in each of ``width`` rounds, so the corpus is first cut to the stretches that
 can matter (see ``fragments``): a fragment that occurs twice is repeated as a whole, and of the rest only the distinct
 fragments of one anchor can share a string. They come together in one task, family by family, in groups of bounded
-size; each group is split into two shards, each shard is transformed, and the transforms are merged by interleave
-refinement, which gives the common prefixes and with them the repeated intervals. A family with more fragments than
+size; parts of them that hashes show to be unique are cut away, equal parts are kept once, the rest is split into two
+shards, each shard is transformed, and the transforms are merged by interleave refinement, which gives the common prefixes and with them the repeated intervals. A family with more fragments than
 ``family`` would make a task grow with the data; its strings are counted by hash instead.
 
 Texts are taken as UTF-8; null counts as empty. Matches never cross documents, rows that repeat are removed whole, and
@@ -25,14 +25,16 @@ from pyspark.sql import functions as F
 from tidemark.llm import fragments
 from tidemark.llm.bwt import repeated_places
 from tidemark.llm.staging import staged
-from tidemark.llm.tokens import RangeHashes, flat, pieces
+from tidemark.llm.tokens import RangeHashes, flat, mixed, pieces
 
 WIDTH = 200
 ANCHOR = 40
 #: Bytes of fragments that are transformed together.
 GROUP_BYTES = 1_000_000
-#: Fragments of one anchor that may come together in one task.
-FAMILY = 1000
+#: Fragments of one anchor that may come together in one task; with fewer than 2 * width - anchor bytes each they take 1.5 MB.
+FAMILY = 4096
+#: Neighbouring strings that are looked at together before the transforms.
+STEP = 8
 
 
 def _cut(texts: DataFrame) -> DataFrame:
@@ -52,25 +54,67 @@ def _cut(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "anchor long, fragment long, kinds long, bytes binary")
 
 
-def _spans_of(places: np.ndarray, lengths: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """(string, start, end) of what the windows at ``places`` of the joined strings cover."""
-    starts = np.cumsum(lengths) - lengths
-    string = np.searchsorted(starts, places, side="right") - 1
-    cut = np.flatnonzero((np.diff(string) != 0) | (np.diff(places) > 1)) + 1
-    first, last = np.concatenate([[0], cut]).astype(int), np.concatenate([cut, [len(places)]]).astype(int) - 1
-    own = string[first]
-    return list(zip(own.tolist(), (places[first] - starts[own]).tolist(), (places[last] - starts[own] + width).tolist()))
-
-
-def _merged_groups(families: DataFrame, width: int, group_bytes: int) -> DataFrame:
+def shared_parts(strings: list[bytes], anchors: np.ndarray, width: int, anchor: int) -> list[tuple[int, int, int]]:
+    """(string, start, end) of the parts that can share a string of ``width`` bytes with another of the same anchor.
+
+    Strings that are equal stand equally far from their anchors. Of STEP neighbouring ones at the same distance the
+    bytes common to all must occur twice, or none of them does.
+    """
+    lengths = np.array([len(s) for s in strings])
+    begin = np.cumsum(lengths) - lengths
+    hashes = RangeHashes(np.frombuffer(b"".join(strings), np.uint8))
+    owner = np.repeat(np.arange(len(strings)), lengths - anchor + 1)
+    places = np.arange(len(owner)) - np.repeat(np.cumsum(lengths - anchor + 1) - (lengths - anchor + 1), lengths - anchor + 1)
+    hit = np.flatnonzero(hashes.of(begin[owner] + places, begin[owner] + places + anchor) == anchors[owner])
+    at = places[hit[np.searchsorted(owner[hit], np.arange(len(strings)))]]
+    reach, last = width - anchor, lengths - width
+    low, high = (reach - at) // STEP, (last - at + reach) // STEP
+    many = high - low + 1
+    which = np.repeat(np.arange(len(strings)), many)
+    block = low[which] + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+    first = at[which] + block * STEP - reach
+    cores = hashes.of(begin[which] + first + STEP - 1, begin[which] + first + width)
+    keys = mixed(cores ^ mixed(anchors[which] + block.astype(np.uint64)))
+    _, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    kept = np.flatnonzero(counts[inverse] > 1)
+    cut = np.flatnonzero((np.diff(which[kept]) != 0) | (np.diff(block[kept]) != 1)) + 1
+    heads, tails = kept[np.concatenate([[0], cut]).astype(int)] if len(kept) else kept, kept[np.concatenate([cut, [len(kept)]]).astype(int) - 1] if len(kept) else kept
+    starts, ends = np.maximum(first[heads], 0), np.minimum(first[tails] + STEP - 1, last[which[tails]]) + width
+    return list(zip(which[heads].tolist(), starts.tolist(), ends.tolist()))
+
+
+def repeated_parts(strings: list[bytes], anchors: np.ndarray, width: int, anchor: int) -> list[tuple[int, int, int]]:
+    """(string, start, end) of what strings of ``width`` bytes cover that start twice or more among all strings.
+
+    Equal parts are transformed once; being there twice, they are repeated from end to end.
+    """
+    parts = shared_parts(strings, anchors, width, anchor)
+    distinct: dict[bytes, list[tuple[int, int]]] = {}
+    for string, start, end in parts:
+        distinct.setdefault(strings[string][start:end], []).append((string, start))
+    texts = list(distinct)
+    if len(texts) > 1:
+        lengths = np.array([len(t) + 1 for t in texts])
+        places = repeated_places(texts, width)
+        begin = np.cumsum(lengths) - lengths
+        own = np.searchsorted(begin, places, side="right") - 1
+        edge = np.flatnonzero((np.diff(own) != 0) | (np.diff(places) > width)) + 1
+        first, last = np.concatenate([[0], edge]).astype(int), np.concatenate([edge, [len(places)]]).astype(int) - 1
+        if not len(places):
+            first = last = np.zeros(0, int)
+        spans = zip(own[first].tolist(), (places[first] - begin[own[first]]).tolist(), (places[last] - begin[own[first]] + width).tolist())
+    else:
+        spans = iter(())
+    found = [(string, start + a, start + b) for t, a, b in spans for string, start in distinct[texts[t]] if len(distinct[texts[t]]) == 1]
+    return found + [(string, start, start + len(t)) for t, owners in distinct.items() if len(owners) > 1 for string, start in owners]
+
+
+def _merged_groups(families: DataFrame, width: int, anchor: int, group_bytes: int) -> DataFrame:
     """(anchor, fragment, start, end) of what is repeated in each fragment. Rows come sorted by anchor."""
     def solve(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         spans = []
         if len(rows) > 1:
-            strings = [r[2] for r in rows]
-            places = repeated_places(strings, width)
-            if len(places):
-                spans = _spans_of(places, np.array([len(s) + 1 for s in strings]), width)
+            spans = repeated_parts([r[2] for r in rows], np.array([r[0] for r in rows], np.int64).view(np.uint64), width, anchor)
         columns = zip(*[(rows[i][0], rows[i][1], a, b) for i, a, b in spans]) if spans else ([], [], [], [])
         return pa.RecordBatch.from_arrays(
             [pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
@@ -121,7 +165,7 @@ def repeated_spans(rows: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, gr
     one_of_each = places.where("kinds > 1 AND row = least").groupBy("anchor", "fragment").agg(
         F.first("row").alias("row"), F.min("start").alias("start"), F.first("length").alias("length"), F.first("kinds").alias("kinds"))
     families = staged(_cut(fragments.with_texts(rows, one_of_each, "inner")), "suffix-families")
-    small = _merged_groups(families.where(F.col("kinds") <= family), width, group_bytes)
+    small = _merged_groups(families.where(F.col("kinds") <= family), width, anchor, group_bytes)
     large = _counted(families.where(F.col("kinds") > family), width)
     inner = staged(small.unionByName(large), "suffix-repeats").select(
         F.col("anchor").alias("a"), F.col("fragment").alias("f"), F.col("start").alias("from"), F.col("end").alias("to"))
