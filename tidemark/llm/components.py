@@ -28,7 +28,7 @@ def _small(edges: DataFrame) -> DataFrame:
 
 
 def least_nodes(edges: DataFrame) -> DataFrame:
-    """For ``edges`` (u, v) one row (node, root) per node with an edge, root being the least node of its component.
+    """For ``edges`` (u, v) one row (node, root) per node with an edge but for the roots, the least nodes of components.
 
     Every round reads the edges of the round before from the shared folder and halves distances, so the number of
     rounds grows with the logarithm of the longest chain. Edges between a node and itself are left out.
