@@ -71,18 +71,20 @@ def merged(first: Shard, second: Shard, depth: int) -> tuple[np.ndarray, np.ndar
     block = np.zeros(size, np.int32)
     prefix = np.full(size, depth, np.int32)
     row = np.empty(size, np.uint8)
+    sizes = np.bincount(first.transform, minlength=256) + np.bincount(second.transform, minlength=256)
+    heads = (np.cumsum(sizes) - sizes)[sizes > 0]
     for length in range(1, depth + 1):
         row[of_second] = second.transform
         row[~of_second] = first.transform
         order = np.argsort(row, kind="stable")
-        sorted_row, blocks = row[order], block[order]
+        blocks = block[order]
         fresh = np.empty(size, bool)
-        fresh[0] = True
-        fresh[1:] = (sorted_row[1:] != sorted_row[:-1]) | (blocks[1:] != blocks[:-1])
+        np.not_equal(blocks[1:], blocks[:-1], out=fresh[1:])
+        fresh[heads] = True
         fresh[:marks] = True
         of_second = of_second[order]
         of_second[:marks] = top
-        prefix[fresh & ~parted] = length - 1
+        prefix[fresh > parted] = length - 1
         parted = fresh
         block = np.cumsum(fresh, dtype=np.int32)
     return of_second, prefix
