@@ -151,10 +151,11 @@ def repeated_spans(rows: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, fa
     return staged(whole.unionByName(small).unionByName(large), "substring-spans")
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, anchor: int = ANCHOR) -> DataFrame:
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, anchor: int = ANCHOR,
+                    family: int = FAMILY) -> DataFrame:
     """(key, n_words, n_removed, kept): the words left of every document, joined by one blank."""
     rows = fragments.numbered(docs, text, F.coalesce(docs[key].cast("long"), F.lit(_LAST)))
-    spans = repeated_spans(rows, width, anchor)
+    spans = repeated_spans(rows, width, anchor, family)
 
     def run(batches):
         for batch in batches:
