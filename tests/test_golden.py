@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import grades, registered, texts, times
-from tidemark.operators import joins, rows, words
+from tidemark.operators import grouping, joins, rows, words
 from tidemark.operators.grouping import counted, grand_total, pivoted_counts, summed
-from tidemark.plans import exam_reports, log_reports, mentions, text_reports
+from tidemark.plans import exam_reports, log_reports, mentions, text_reports, viewing
 from tidemark.plans.course_scores import course_scores
-from tidemark.sources import files
+from tidemark.session import settings
+from tidemark.sources import files, messages
 
 # Sample log rows, log lines, visits and users.
 LOG = [
@@ -79,10 +80,27 @@ def test_joins(visits, users):
     assert joins.every_pair(visits, users).count() == 18
 
 
-@pytest.mark.parametrize("small_rows, node", [(100, "BroadcastNestedLoopJoin"), (2, "CartesianProduct")])
-def test_every_pair_broadcasts_only_what_it_counted(visits, users, small_rows, node):
-    pairs = joins.every_pair(visits, users, small_rows)
-    assert node in pairs._jdf.queryExecution().executedPlan().toString() and pairs.count() == 18
+def test_every_pair_broadcasts_only_below_the_measured_threshold(spark, visits, users):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        pairs = joins.every_pair(visits, users)
+        assert "CartesianProduct" in pairs._jdf.queryExecution().executedPlan().toString() and pairs.count() == 18
+
+
+def test_ratio_average_counts_only_rows_with_a_value(spark):
+    rows = spark.createDataFrame([("a", 10), ("a", None), ("b", None)], "k string, v int")
+    assert sorted(map(tuple, grouping.ratio_average(rows, "v", "k").collect())) == [("a", 10.0), ("b", None)]
+
+
+def test_account_ids_beyond_the_int_range(spark):
+    rows = spark.createDataFrame([('{"windowId": 3000000000, "counter": 3000000001}',)], "value string")
+    found = messages.json_columns(rows, messages.ACCOUNT_SCHEMA).first()
+    assert (found.windowId, found.counter) == (3_000_000_000, 3_000_000_001)
+
+
+def test_log_lines_of_both_layouts_and_short_ones(spark):
+    rows = spark.createDataFrame([("WARN,2024-01-02 10:11:12",), ("INFO,Tue Jan 02 10:11:12 GMT 2024",), ("FATAL",), ("",)], "value string")
+    found = [(r.level, str(r.ts)) for r in viewing.levels_of_lines(rows).select("level", F.col("ts").cast("string").alias("ts")).collect()]
+    assert found == [("WARN", "2024-01-02 10:11:12"), ("INFO", "2024-01-02 10:11:12"), ("FATAL", "None"), ("", "None")]
 
 
 def test_exam_reports(spark):

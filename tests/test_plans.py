@@ -64,6 +64,6 @@ def test_time_slices_reach_the_scan(spark, sf_dir):
 
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     conditions = time_slices(events, "ts", 4000)
-    assert len(conditions) == 3
+    assert len(conditions) == 4
     assert sum(events.where(c).count() for c in conditions) == events.count()
     assert "GreaterThanOrEqual(ts" in formatted(spark, events.where(conditions[1]))

@@ -65,7 +65,7 @@ def test_units_over_six_triggers_equal_the_batch_form(spark, timed_files, limit)
     assert {r.status for r in found.select("status").distinct().collect()} == {"completed", "timed_out"}
 
 
-@pytest.mark.parametrize("slice_rows, spans", [(10_000, 1), (200, 5)])
+@pytest.mark.parametrize("slice_rows, spans", [(10_000, 4), (200, 5)])
 def test_slices_of_time_give_the_same_units(spark, tmp_path, slice_rows, spans):
     """The table is written in no order at all; a third and more of its rows belong to one key."""
     events = [(key, BASE + us, number) for key, us, number in skewed_events(6, 900, 20, 100_000)]

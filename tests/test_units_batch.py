@@ -118,6 +118,12 @@ def test_pages_hold_every_value_in_order(spark):
     assert sorted(v for p in pages for v in p["values"]) == list(range(700))
 
 
+def test_pages_follow_time_where_ids_fall(spark):
+    rows = spark.sql("SELECT 1 AS key, timestamp_seconds(id) AS ts, 100 - id AS place, id AS value FROM range(6)")
+    pages = U.pages_per_key(rows, "key", "ts", "place", "value", 3, partitions=2).orderBy("page").collect()
+    assert [p["values"] for p in pages] == [[0, 1, 2], [3, 4, 5]]
+
+
 @settings(max_examples=150, deadline=None)
 @given(
     st.lists(st.tuples(st.integers(0, 3), st.integers(0, 30)), min_size=1, max_size=60),

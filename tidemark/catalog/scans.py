@@ -36,7 +36,7 @@ def scan_text_lines(spark, folder):
 @registered(
     "json_flatten",
     """
-    SELECT user_id::INTEGER AS windowId, event_id::INTEGER AS counter, event_id::VARCHAR AS accountNumber,
+    SELECT user_id AS windowId, event_id AS counter, event_id::VARCHAR AS accountNumber,
            event_type AS accountName, value AS balance, json_extract_string(props, '$.k')::INTEGER AS k
     FROM events
     """,

@@ -46,7 +46,7 @@ _ONCE = """
     WHERE rn <= 10 AND ts < f + INTERVAL 120 hour GROUP BY user_id HAVING count(*) = 10
 """
 _MEMBERS = """
-    SELECT user_id::INTEGER AS windowId, event_id::INTEGER AS counter, event_id::VARCHAR AS accountNumber,
+    SELECT user_id AS windowId, event_id AS counter, event_id::VARCHAR AS accountNumber,
            event_type AS accountName, value AS balance
     FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
                  count(*) OVER (PARTITION BY user_id) AS total FROM events)

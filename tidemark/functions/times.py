@@ -37,7 +37,7 @@ def log_time(text: Column) -> Column:
 
 def post_time(text: Column) -> Column:
     """``Mon Jan 01 10:00:00 +0000 2024`` as a timestamp. The weekday carries no information and is cut off."""
-    return F.try_to_timestamp(F.substring(text, 5, 100), F.lit(POST_TIME_LAYOUT))
+    return F.try_to_timestamp(F.substr(text, F.lit(5)), F.lit(POST_TIME_LAYOUT))
 
 
 def to_micros(ts: Column) -> Column:

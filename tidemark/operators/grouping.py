@@ -22,8 +22,8 @@ def grand_total(df: DataFrame, value: str, name: str = "total") -> DataFrame:
 
 
 def ratio_average(df: DataFrame, value: str, *keys: str, name: str = "average") -> DataFrame:
-    """Average as sum over count, both from one pass over the rows."""
-    return df.groupBy(*keys).agg((F.sum(value).cast("double") / F.count(F.lit(1))).alias(name))
+    """Average as sum over count, both from one pass over the rows; rows without a value count in neither."""
+    return df.groupBy(*keys).agg((F.sum(value).cast("double") / F.nullif(F.count(value), F.lit(0))).alias(name))
 
 
 def spread(df: DataFrame, value: str, *keys: str, digits: int = 2) -> DataFrame:

@@ -25,13 +25,10 @@ def visit_sentence(name: Column, visits: Column) -> Column:
     return F.concat(F.lit("User "), name, F.lit(" had "), visits.cast("string"), F.lit(" visits."))
 
 
-def every_pair(left: DataFrame, right: DataFrame, small_rows: int = 10_000) -> DataFrame:
+def every_pair(left: DataFrame, right: DataFrame) -> DataFrame:
     """Every left row with every right row.
 
-    The result has ``|left| * |right|`` rows by definition. A right side of at most ``small_rows`` rows
-    (counted on a limited read) is broadcast, so left rows never move; a larger one is paired
-    partition by partition, which needs no broadcast.
+    The result has ``|left| * |right|`` rows by definition. Spark broadcasts a side whose measured bytes are below
+    its threshold and otherwise pairs partition by partition.
     """
-    if right.limit(small_rows + 1).count() <= small_rows:
-        return left.crossJoin(F.broadcast(right))
-    return left.hint("shuffle_replicate_nl").crossJoin(right)
+    return left.crossJoin(right)

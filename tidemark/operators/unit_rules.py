@@ -38,12 +38,11 @@ class UnitRule:
         next_cut[:n] = np.minimum.accumulate(np.where(cut, row, n)[::-1])[::-1]
         ends = np.minimum(row + self.size, next_cut[1:])
         if self.deadline is not None:
-            bounds = [0, *([] if key_starts is None else np.flatnonzero(key_starts).tolist()), n]
-            for first, last in zip(bounds, bounds[1:]):
-                run = us[first:last]
-                ends[first:last] = np.minimum(
-                    ends[first:last], first + np.searchsorted(run, run + self.deadline, "left")
-                )
+            # Times become ranks, so that key number and time fit one sorted number and one search serves all keys.
+            times = np.unique(us)
+            key = (np.zeros(n, np.int64) if key_starts is None else np.cumsum(key_starts)) * (len(times) + 1)
+            too_late = key + np.searchsorted(times, us + self.deadline, "left")
+            ends = np.minimum(ends, np.searchsorted(key + np.searchsorted(times, us), too_late, "left"))
         return np.minimum(ends, n)
 
     def continues(self, us: np.ndarray, held: int, first_us: int, last_us: int) -> int:

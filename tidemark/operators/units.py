@@ -340,10 +340,10 @@ def pages_per_key(df: DataFrame, key: str, ts: str, order: str, value: str, page
     One list per key would grow with the data; pages hold the same values and stay small.
     """
     tagged = unit_members(
-        df.withColumns({"_value": F.col(value), "_place": F.col(order)}),
-        key, ts, order, page_rows, ["_place", "_value"], partitions=partitions,
+        df.withColumns({"_value": F.col(value), "_place": F.col(order), "_us": to_micros(F.col(ts))}),
+        key, ts, order, page_rows, ["_us", "_place", "_value"], partitions=partitions,
     )
-    listed = F.array_sort(F.collect_list(F.struct("_place", "_value")))
+    listed = F.array_sort(F.collect_list(F.struct("_us", "_place", "_value")))
     return tagged.groupBy(key, F.col("unit_no").alias("page")).agg(
         F.count(F.lit(1)).alias("n"), F.transform(listed, lambda pair: pair["_value"]).alias("values")
     )
@@ -358,18 +358,13 @@ def once_units(events: DataFrame, key: str, ts: str, order: str, size: int, dead
     rows = events.where(F.col(ts).isNotNull()).select(
         F.col(key).alias("key"), to_micros(F.col(ts)).alias("us"), F.col(order).alias("seq")
     )
-    limit = int(events.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if size <= limit:
-        first = Window.partitionBy("key").orderBy("us", "seq")
-        groups = (
-            rows.withColumn("place", F.row_number().over(first))
-            .where(F.col("place") <= size)
-            .groupBy("key")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("us").alias("first_us"), F.max("us").alias("last_us"))
-        )
-    else:
-        groups = _walked(rows.withColumn("at", from_micros(F.col("us"))), "key", "at", "seq",
-                         UnitRule(size), False, [], None).where(F.col("unit_no") == 1)
+    first = Window.partitionBy("key").orderBy("us", "seq")
+    groups = (
+        rows.withColumn("place", F.row_number().over(first))
+        .where(F.col("place") <= size)
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("us").alias("first_us"), F.max("us").alias("last_us"))
+    )
     return groups.where(
         (F.col("n") == size) & (F.col("last_us") < F.col("first_us") + micros(deadline))
     ).select(

@@ -76,9 +76,14 @@ def newest_seconds(panes: DataFrame, size: str = "60 minutes", slide: str = "1 m
 
 
 def levels_of_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``level, ts`` of lines ``level,time``; the text after the comma must be a timestamp."""
+    """``level, ts`` of lines ``level,time``, the time as a timestamp or as ``Tue Jan 02 10:11:12 GMT 2024``.
+
+    The level stands in every line; one that is short or has another time gives a null time.
+    """
     parts = F.split(F.col(column), ",")
-    return lines.select(parts[0].alias("level"), F.try_to_timestamp(parts[1]).alias("ts"))
+    said = F.trim(F.get(parts, F.lit(1)))
+    dated = F.try_to_timestamp(F.substr(said, F.lit(5)), F.lit("MMM d HH:mm:ss z yyyy"))
+    return lines.select(F.get(parts, F.lit(0)).alias("level"), F.coalesce(F.try_to_timestamp(said), dated).alias("ts"))
 
 
 def pane_levels(lines: DataFrame, slide: str = "10 seconds", late: str = "2 minutes") -> DataFrame:

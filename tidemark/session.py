@@ -18,7 +18,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (local tests) a temporary folder takes its place.
+    Only on a local master a temporary folder takes its place where that setting is missing; on a cluster no such
+    folder is seen by all, so its absence is an error.
     """
     return f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
@@ -26,6 +27,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 def checkpoint_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tidemark-")
     if not context.getCheckpointDir():

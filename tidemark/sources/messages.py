@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 POST_SCHEMA = "created_at string, id bigint, id_str string, text string"
 ACCOUNT_SCHEMA = (
-    "windowId int, counter int, "
+    "windowId bigint, counter bigint, "
     "account struct<accountNumber: string, accountName: string, balance: double>"
 )
 

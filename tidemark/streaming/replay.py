@@ -17,22 +17,12 @@ from tidemark.streaming import sinks
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _fitting_partitions(spark: SparkSession) -> int | None:
-    """One partition per core on a single machine that left Spark's 200 alone; elsewhere the session's number."""
-    name = "spark.sql.shuffle.partitions"
-    chosen = spark.sparkContext.getConf().contains(name) or spark.conf.get(name) != "200"
-    local = spark.sparkContext.master.startswith("local")
-    return spark.sparkContext.defaultParallelism if local and not chosen else None
-
-
 def _started(stream: DataFrame, partitions: int | None, start) -> None:
     """Start under the settings a stateful query fixes for the life of its checkpoint, and wait for its end.
 
     State lives in RocksDB, off the heap, and a micro-batch saves only its changes. ``partitions`` is the number of state partitions.
     """
     spark = stream.sparkSession
-    if partitions is None:
-        partitions = _fitting_partitions(spark)
     with settings(
         spark,
         spark__sql__streaming__stateStore__providerClass=STATE_STORE,
@@ -88,14 +78,17 @@ def replay_branches(stream: DataFrame, mode: str, branches: Mapping[str, Column]
 
 
 def time_slices(rows: DataFrame, ts: str, slice_rows: int) -> list[Column]:
-    """Conditions that cut a table into consecutive spans of time with about ``slice_rows`` rows each."""
-    slices = -(-rows.count() // slice_rows)
-    if slices < 2:
-        return [F.lit(True)]
+    """Conditions that cut a table into consecutive spans of time with about ``slice_rows`` rows each, at least four.
+
+    A row without a time lies in no span, whatever the size of the table.
+    """
+    slices = max(4, -(-rows.count() // slice_rows))
     kind = rows.schema[ts].dataType.simpleString()
     shares = [i / slices for i in range(1, slices)]
-    # One sketch of bounded size over the whole table; only the cutting points come back.
-    cuts = rows.agg(F.percentile_approx(to_micros(F.col(ts)), shares, min(100 * slices, 20_000))).first()[0]
+    # One sketch over the whole table; only the cutting points come back, one per micro-batch to run.
+    cuts = rows.agg(F.percentile_approx(to_micros(F.col(ts)), shares, 100 * slices)).first()[0]
+    if cuts is None:
+        return [F.col(ts).isNotNull()]
     bounds = [F.timestamp_micros(F.lit(cut)).cast(kind) for cut in sorted(set(cuts))]
     first, last = F.col(ts) < bounds[0], F.col(ts) >= bounds[-1]
     between = [(F.col(ts) >= lower) & (F.col(ts) < upper) for lower, upper in zip(bounds, bounds[1:])]
