@@ -59,11 +59,11 @@ def test_sliding_windows_copy_pane_totals_not_rows(spark, sf_dir):
     assert "HashAggregate" in text[expand:], "rows are added up per pane below the expansion"
 
 
-def test_time_slices_reach_the_scan(spark, sf_dir):
-    from tidemark.streaming.replay import time_slices
+def test_a_span_of_time_reads_its_own_files(spark, sf_dir):
+    from tidemark.streaming.replay import by_time
 
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    conditions = time_slices(events, "ts", 4000)
-    assert len(conditions) == 4
-    assert sum(events.where(c).count() for c in conditions) == events.count()
-    assert "GreaterThanOrEqual(ts" in formatted(spark, events.where(conditions[1]))
+    sliced = by_time(events, "ts", 4000)
+    assert sliced.select("slice").distinct().count() == 4
+    assert sliced.count() == events.count()
+    assert "PartitionFilters: [isnotnull(slice" in formatted(spark, sliced.where("slice = 1"))

@@ -20,7 +20,7 @@ from tidemark.session import shared_folder
 from tidemark.sources import streams
 from tidemark.streaming import sinks
 from tidemark.streaming import units as stream_units
-from tidemark.streaming.replay import replay, replay_branches, replay_in_slices, time_slices
+from tidemark.streaming.replay import by_time, replay, replay_branches, replay_in_slices
 
 BASE = 1_700_000_000 * SECOND  # a time above the first watermark, which is the year 1970
 SCHEMA = "key bigint, us bigint, id bigint"
@@ -73,7 +73,8 @@ def test_slices_of_time_give_the_same_units(spark, tmp_path, slice_rows, spans):
         str(tmp_path / "table")
     )
     rows = spark.read.parquet(str(tmp_path / "table"))
-    assert len(time_slices(rows, "ts", slice_rows)) == spans
+    bounds = by_time(rows, "ts", slice_rows).groupBy("slice").agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count("*").alias("n")).orderBy("slice").collect()
+    assert len(bounds) == spans and all(x.b < y.a for x, y in zip(bounds, bounds[1:])) and sum(x.n for x in bounds) == len(events)
     limit = {"idle": timedelta(seconds=5000)}
     found = replay_in_slices(
         rows, "ts", lambda stream: stream_units.units(stream, "key", "ts", 10, **limit),
@@ -82,6 +83,32 @@ def test_slices_of_time_give_the_same_units(spark, tmp_path, slice_rows, spans):
     assert closed(found) == closed(batch_units.units(rows, "key", "ts", "id", 10, flush=False, **limit))
 
 
+def test_rows_without_a_time_lie_in_no_span(spark):
+    rows = spark.createDataFrame([(1, None), (2, None)], "key bigint, us bigint").selectExpr("key", "timestamp_micros(us) AS ts")
+    counted = partial(windows.tumbling, ts="ts", size="1 minute", late="2 minutes", n=F.count(F.lit(1)))
+    found = replay_in_slices(rows, "ts", counted, partial(replay, mode="update", keys=["window_start", "window_end"]))
+    assert found.count() == 0
+
+
+@pytest.mark.parametrize("slice_rows", [10_000, 120, 60])
+def test_windows_do_not_depend_on_the_number_of_spans(spark, timed_files, slice_rows):
+    folder, events = timed_files
+    rows = spark.read.schema(SCHEMA).parquet(folder).select("key", F.timestamp_micros("us").alias("ts"))
+    batches = []
+
+    def counted(stream):
+        return windows.tumbling(stream, "ts", "1 minute", "key", late="2 minutes", n=F.count(F.lit(1)))
+
+    def run(stream, **folders):
+        batches.append(1)
+        return replay(stream, "update", ["window_start", "window_end", "key"], **folders)
+
+    found = replay_in_slices(rows, "ts", counted, run, slice_rows)
+    direct = windows.tumbling(rows, "ts", "1 minute", "key", n=F.count(F.lit(1)))
+    assert len(batches) >= 4
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, direct.collect()))
+
+
 def test_branches_write_each_output_once(spark, timed_files):
     folder, _ = timed_files
     stream = stream_units.units(stream_of(spark, folder), "key", "ts", 10, deadline=timedelta(seconds=90))

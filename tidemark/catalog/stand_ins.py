@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.files import table
 from tidemark.sources.streams import table_stream
+from tidemark.streaming.replay import replay_in_slices
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,6 +23,15 @@ def event_stream(spark: SparkSession, folder: str, files_per_trigger: int | None
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def replayed(spark: SparkSession, folder: str, columns: list[str], build, run) -> DataFrame:
+    """The events, in spans of time, through a streaming job; times become instants, as in ``event_stream``."""
+
+    def instants(rows):
+        return build(rows.withColumn("ts", F.col("ts").cast("timestamp")))
+
+    return replay_in_slices(events(spark, folder).select("ts", *columns), "ts", instants, run)
+
+
 def log(spark: SparkSession, folder: str) -> DataFrame:
     return events(spark, folder).select(F.col("event_type").alias("level"), F.col("ts").alias("datetime"))
 

@@ -1,5 +1,7 @@
 """Words, titles and mentions."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from tidemark.catalog import stand_ins as given
@@ -112,6 +114,9 @@ def mention_top20(spark, folder):
 @registered("stream_mention_top20", _TREND)
 def stream_mention_top20(spark, folder):
     """Windows are kept up to date by the stream (old ones leave the state); the ranking reads them back."""
-    posts = trend.posts_of_messages(given.post_messages(given.event_stream(spark, folder)))
-    counts = replay(trend.mention_windows(posts), "update", ["window_start", "window_end", "mention"])
+    counts = given.replayed(
+        spark, folder, ["user_id", "event_id", "event_type"],
+        lambda rows: trend.mention_windows(trend.posts_of_messages(given.post_messages(rows))),
+        partial(replay, mode="update", keys=["window_start", "window_end", "mention"]),
+    )
     return given.wall_clock(trend.trending(counts), "window_start", "window_end")

@@ -3,20 +3,19 @@
 from datetime import timedelta
 from functools import partial
 
-from pyspark.sql import functions as F
-
 from tidemark.catalog import stand_ins as given
 from tidemark.catalog.registry import registered
 from tidemark.operators import units
 from tidemark.plans import reconciliation as recon
 from tidemark.streaming import units as stream_units
-from tidemark.streaming.replay import replay, replay_branches, replay_in_slices
+from tidemark.streaming.replay import replay, replay_branches
 
 # Settings that give both full and timed-out units on the test events, which span 30 days.
 SIZE = 10
 IDLE = timedelta(hours=24)
 DEADLINE = timedelta(hours=120)
 GIVE_UP = timedelta(days=60)
+APPENDED = partial(replay, mode="append")
 
 _STATUS = "CASE WHEN count(*) = 10 THEN 'completed' ELSE 'timed_out' END"
 _IDLE = f"""
@@ -95,22 +94,13 @@ def units_exact_members(spark, folder):
     return found.select("windowId", "counter", "account.*")
 
 
-def _replayed(spark, folder, columns, build, run=partial(replay, mode="append")):
-    """The events, in slices of time, through a stateful job."""
-
-    def instants(rows):
-        return build(rows.withColumn("ts", F.col("ts").cast("timestamp")))
-
-    return replay_in_slices(given.events(spark, folder).select("ts", *columns), "ts", instants, run)
-
-
 @registered(
     "stream_units_idle",
     f"{_IDLE} SELECT * FROM u WHERE n = 10 OR last_ts + INTERVAL 24 hour <= (SELECT max(ts) FROM events)",
 )
 def stream_units_idle(spark, folder):
-    found = _replayed(
-        spark, folder, ["user_id"], lambda rows: stream_units.units(rows, "user_id", "ts", SIZE, idle=IDLE)
+    found = given.replayed(
+        spark, folder, ["user_id"], lambda rows: stream_units.units(rows, "user_id", "ts", SIZE, idle=IDLE), APPENDED
     )
     return given.wall_clock(found, "first_ts", "last_ts")
 
@@ -123,7 +113,7 @@ def stream_units_idle(spark, folder):
 def stream_units_deadline(spark, folder):
     """Full and timed-out units go to outputs of their own."""
     branches = {"completed": ~recon.is_timed_out(), "timed_out": recon.is_timed_out()}
-    found = _replayed(
+    found = given.replayed(
         spark, folder, ["user_id"], lambda rows: stream_units.units(rows, "user_id", "ts", SIZE, deadline=DEADLINE),
         partial(replay_branches, mode="append", branches=branches),
     )
@@ -132,9 +122,9 @@ def stream_units_deadline(spark, folder):
 
 @registered("stream_units_once", _ONCE)
 def stream_units_once(spark, folder):
-    found = _replayed(
+    found = given.replayed(
         spark, folder, ["user_id"],
-        lambda rows: stream_units.once_units(rows, "user_id", "ts", SIZE, DEADLINE, forget=GIVE_UP),
+        lambda rows: stream_units.once_units(rows, "user_id", "ts", SIZE, DEADLINE, forget=GIVE_UP), APPENDED,
     )
     return given.wall_clock(found, "first_ts", "last_ts")
 
@@ -149,4 +139,4 @@ def stream_units_exact_members(spark, folder):
             ["counter", "accountNumber", "accountName", "balance"], idle=GIVE_UP,
         )
 
-    return _replayed(spark, folder, ["user_id", "event_id", "event_type", "value"], members)
+    return given.replayed(spark, folder, ["user_id", "event_id", "event_type", "value"], members, APPENDED)

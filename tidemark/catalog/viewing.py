@@ -1,5 +1,7 @@
 """View and log counting over event time, as batches and as replayed streams."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from tidemark.catalog import stand_ins as given
@@ -10,7 +12,7 @@ from tidemark.operators.rows import stacked
 from tidemark.plans import viewing
 from tidemark.session import shared_folder
 from tidemark.sources import streams
-from tidemark.streaming.replay import replay
+from tidemark.streaming.replay import as_lines, replay, replay_in_slices
 
 
 def _tumbling(size: str, total: str) -> str:
@@ -31,6 +33,12 @@ def _sliding(size: str, slide: str, copies: int, key: str, total: str) -> str:
     """
 
 
+def _views(spark, folder, build, *keys):
+    """Views in spans of time through a job that updates its results; the last ones per key."""
+    run = partial(replay, mode="update", keys=keys)
+    return given.replayed(spark, folder, ["user_id", "event_id", "event_type"], lambda rows: build(given.view_records(rows)), run)
+
+
 @registered("window_tumbling", _tumbling("2 minute", "seconds_watched"))
 def window_tumbling(spark, folder):
     found = viewing.windowed_seconds_text(given.view_records(given.events(spark, folder)))
@@ -72,16 +80,14 @@ def stream_running_update(spark, folder):
 
 @registered("stream_window_tumbling", _tumbling("1 minute", "score"))
 def stream_window_tumbling(spark, folder):
-    messages = given.view_records(given.event_stream(spark, folder))
-    found = replay(viewing.windowed_seconds(messages), "update", ["window_start", "window_end", "course_name"])
+    found = _views(spark, folder, viewing.windowed_seconds, "window_start", "window_end", "course_name")
     return given.wall_clock(found, "window_start", "window_end").orderBy(F.desc("score"), "window_start", "course_name")
 
 
 @registered("stream_view_sliding", _sliding("60 minute", "1 minute", 60, "course_name", "sum(5)::BIGINT AS seconds"))
 def stream_view_sliding(spark, folder):
     """The stream keeps one-minute panes; windows are put together from them."""
-    messages = given.view_records(given.event_stream(spark, folder))
-    panes = replay(viewing.pane_seconds(messages), "update", ["pane", "course_name"])
+    panes = _views(spark, folder, viewing.pane_seconds, "pane", "course_name")
     return given.wall_clock(viewing.sliding_seconds(panes), "window_start", "window_end")
 
 
@@ -95,18 +101,17 @@ def stream_view_sliding(spark, folder):
     """,
 )
 def stream_newest_window(spark, folder):
-    messages = given.view_records(given.event_stream(spark, folder))
-    panes = replay(viewing.pane_seconds(messages), "update", ["pane", "course_name"])
+    panes = _views(spark, folder, viewing.pane_seconds, "pane", "course_name")
     return given.wall_clock(viewing.newest_seconds(panes), "window_start", "window_end")
 
 
 @registered("stream_level_sliding", _sliding("2 minute", "10 second", 12, "level", "count(*) AS count"))
 def stream_level_sliding(spark, folder):
     """Text lines ``level,time`` arriving as files."""
-    lines = shared_folder(spark, "log-lines")
     rows = given.log(spark, folder)
-    rows.select(F.concat_ws(",", "level", F.col("datetime").cast("string"))).write.text(lines)
-    panes = replay(viewing.pane_levels(streams.line_stream(spark, lines)), "update", ["pane", "level"])
+    lines = rows.select("datetime", F.concat_ws(",", "level", F.col("datetime").cast("string")).alias("value"))
+    run = partial(replay, mode="update", keys=["pane", "level"])
+    panes = replay_in_slices(lines, "datetime", viewing.pane_levels, run, arrive=as_lines)
     return given.wall_clock(viewing.sliding_levels(panes), "window_start", "window_end")
 
 
@@ -149,5 +154,8 @@ def stream_late_drop(spark, folder):
 
 @registered("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, folder):
-    rows = given.event_stream(spark, folder).select("ts", "user_id", "event_type")
-    return replay(windows.first_of_each(rows, "ts", ["user_id", "event_type"], "60 days"), "append").drop("ts")
+    found = given.replayed(
+        spark, folder, ["user_id", "event_type"],
+        lambda rows: windows.first_of_each(rows, "ts", ["user_id", "event_type"], "60 days"), partial(replay, mode="append"),
+    )
+    return found.drop("ts")

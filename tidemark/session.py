@@ -24,6 +24,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def removed_at_end(spark: SparkSession, *folders: str) -> None:
+    """Have folders that exist by now deleted when the application ends."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions.times import to_micros
 from tidemark.operators.rows import stacked
-from tidemark.session import settings, shared_folder
-from tidemark.sources.streams import table_stream
+from tidemark.session import removed_at_end, settings, shared_folder
+from tidemark.sources.streams import line_stream, table_stream
 from tidemark.streaming import sinks
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -77,36 +76,48 @@ def replay_branches(stream: DataFrame, mode: str, branches: Mapping[str, Column]
     ))
 
 
-def time_slices(rows: DataFrame, ts: str, slice_rows: int) -> list[Column]:
-    """Conditions that cut a table into consecutive spans of time with about ``slice_rows`` rows each, at least four.
+def by_time(rows: DataFrame, ts: str, slice_rows: int, parts: int = 8) -> DataFrame:
+    """The rows with a time, written once to the shared folder with the number of the span of time they lie in: ``slice``.
 
-    A row without a time lies in no span, whatever the size of the table.
+    Spans hold about ``slice_rows`` rows each and are at least four, as far as there are as many different times. Rows
+    of one time share a span; each span is written by ``parts`` tasks. Rows without a time lie in none, whatever the
+    size of the table.
     """
-    slices = max(4, -(-rows.count() // slice_rows))
-    kind = rows.schema[ts].dataType.simpleString()
-    shares = [i / slices for i in range(1, slices)]
-    # One sketch over the whole table; only the cutting points come back, one per micro-batch to run.
-    cuts = rows.agg(F.percentile_approx(to_micros(F.col(ts)), shares, 100 * slices)).first()[0]
-    if cuts is None:
-        return [F.col(ts).isNotNull()]
-    bounds = [F.timestamp_micros(F.lit(cut)).cast(kind) for cut in sorted(set(cuts))]
-    first, last = F.col(ts) < bounds[0], F.col(ts) >= bounds[-1]
-    between = [(F.col(ts) >= lower) & (F.col(ts) < upper) for lower, upper in zip(bounds, bounds[1:])]
-    return [first, *between, last]
-
-
-def replay_in_slices(rows: DataFrame, ts: str, build: Callable[[DataFrame], DataFrame],
-                     run: Callable[..., DataFrame], slice_rows: int = 50_000_000) -> DataFrame:
-    """Replay a table through a job whose state follows each key in order, a span of time after the other.
-
-    Rows arrive in time order whatever the table's layout, and no micro-batch holds more than about ``slice_rows``
-    rows, which bounds what one busy key can bring into one call. ``build`` makes the job from the arriving rows,
-    ``run`` is a replay with everything set but the folders.
+    spark = rows.sparkSession
+    timed = rows.where(F.col(ts).isNotNull())
+    slices = max(4, -(-timed.count() // slice_rows))
+    dealt = timed.repartitionByRange(slices * parts, ts).withColumn("slice", F.floor(F.spark_partition_id() / parts).cast("int"))
+    folder = shared_folder(spark, "slices")
+    dealt.write.partitionBy("slice").parquet(folder)
+    removed_at_end(spark, folder)
+    return spark.read.schema(dealt.schema).parquet(folder)
+
+
+def as_table(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("append").parquet(folder)
+
+
+def as_lines(rows: DataFrame, folder: str) -> None:
+    """The column ``value`` as text files."""
+    rows.select("value").write.mode("append").text(folder)
+
+
+def replay_in_slices(rows: DataFrame, ts: str, build: Callable[[DataFrame], DataFrame], run: Callable[..., DataFrame],
+                     slice_rows: int = 50_000_000, arrive: Callable[[DataFrame, str], None] = as_table) -> DataFrame:
+    """Replay a table through a job that follows event time, a span of time after the other.
+
+    Rows arrive in time order whatever the table's layout, so none is behind the watermark, and no micro-batch holds
+    more than about ``slice_rows`` rows. ``build`` makes the job from the arriving rows (lines, with ``as_lines``),
+    ``run`` is a replay with everything set but the folders. The table is read once and every span once.
     """
     spark = rows.sparkSession
+    sliced = by_time(rows, ts, slice_rows)
+    numbers = sorted(r["slice"] for r in sliced.select("slice").distinct().collect())  # one per micro-batch to run
     arriving = shared_folder(spark, "arriving")
     folders = {"folder": shared_folder(spark, "results"), "checkpoint": shared_folder(spark, "query")}
-    for condition in time_slices(rows, ts, slice_rows):
-        rows.where(condition).write.mode("append").parquet(arriving)
-        found = run(build(table_stream(spark, arriving, rows.schema)), **folders)
+    for number in numbers or [0]:  # a table without times still makes one, empty, micro-batch
+        arrive(sliced.where(F.col("slice") == number).drop("slice"), arriving)
+        stream = line_stream(spark, arriving) if arrive is as_lines else table_stream(spark, arriving, rows.schema)
+        found = run(build(stream), **folders)
+    removed_at_end(spark, arriving, *folders.values())
     return found
