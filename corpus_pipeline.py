@@ -20,12 +20,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: shingles of five words, fingerprints linked at up to six bits.
+    """One document of each group of near-duplicates: texts that share 0.8 or more of their shingles of five words.
 
-    Texts with a similarity of 0.8 or more differ in about ten of 64 bits at most on average; see README for what a
-    threshold of six catches.
+    Such texts differ in about ten of 64 bits on average, so fingerprints up to twelve bits apart are candidates, met by
+    five orders of the bits, and each link is held against the texts; see README for the share of pairs this catches.
     """
-    return simhash.first_of_each(docs, shingle=5, threshold=6, blocks=3)
+    return simhash.first_of_each(docs, shingle=5, threshold=12, blocks=3, tables=5, reach=5, similarity=0.8)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

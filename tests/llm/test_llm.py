@@ -240,6 +240,55 @@ def test_covering_meets_every_pair(spark, threshold, blocks):
     assert classes(pairs, signed) == classes(wanted, signed)
 
 
+def shingles(text, size=5):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split()
+    return frozenset(tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def similar_pairs(sets, similarity):
+    """Pairs that share a shingle are held against each other in full."""
+    by_shingle = {}
+    for key, found in sets.items():
+        for shingle in found:
+            by_shingle.setdefault(shingle, []).append(key)
+    pairs = {(a, b) for keys in by_shingle.values() for a in keys[:1] + keys for b in keys if a < b}
+    return [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
+
+
+def test_similar_texts_are_linked_and_others_are_not(spark):
+    """Pairs around a similarity of 0.8: none below is linked, and nine in ten of those from 0.8 on are."""
+    rng = random.Random(11)
+    texts = {}
+    for i in range(400):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 400))]
+        texts[2 * i] = " ".join(words)
+        for _ in range(max(1, int(len(words) * rng.choice((0.003, 0.01, 0.02, 0.03))))):
+            words[rng.randrange(len(words))] = "changed"
+        texts[2 * i + 1] = " ".join(words)
+    texts |= {-1: None, -2: "", -3: "One two", -4: "one TWO", -5: texts[0]}
+    frame = spark.createDataFrame([(k, t, 0) for k, t in texts.items()] + [(None, texts[4], 1)], "doc_id long, text string, print int")
+    found = {r["key"]: r["component"] for r in simhash.components(frame, shingle=5, threshold=12, blocks=3, tables=5, reach=5, similarity=0.8).collect()}
+    sets = {k: shingles(t) for k, t in texts.items()}
+    wanted = [(2 * i, 2 * i + 1) for i in range(400) if len(sets[2 * i] & sets[2 * i + 1]) >= 0.8 * len(sets[2 * i] | sets[2 * i + 1])]
+    others = [(2 * i, 2 * i + 1) for i in range(400) if (2 * i, 2 * i + 1) not in wanted]
+    met = [found[a] == found[b] for a, b in wanted]
+    assert 150 < len(wanted) < 390 and sum(met) >= 0.9 * len(met)
+    assert not any(found[a] == found[b] for a, b in others)
+    assert found[-1] == found[-2] and found[-3] == found[-4] and found[-5] == found[0] == -5 and found[None] == found[4] == 4
+
+
+def test_closest_pairs_form_the_forest():
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 2**63, 60, np.uint64)
+    values[30:] = values[:30] ^ np.uint64(5)
+    pairs = np.array([(a, b) for a in values for b in values if a < b], np.uint64)
+    kept = [tuple(p) for p in simhash._forest(pairs).tolist()]
+    assert len(kept) == 59
+    for bits in (2, 20, 25, 30, 64):
+        near = lambda ps: [(a, b) for a, b in ps if (a ^ b).bit_count() <= bits]
+        assert classes(near(kept), values.tolist()) == classes(near(pairs.tolist()), values.tolist())
+
+
 def test_components_of_chains_stars_and_loops(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 199), (199, 200)] + [(rng.randint(300, 330), rng.randint(300, 330)) for _ in range(25)]
@@ -400,13 +449,12 @@ def test_pipeline_stages_against_brute_force(spark, sf_dir):
     kept = corpus_pipeline.STAGES[0][1](spark, docs, sf_dir)
     assert kept.columns == names
     unique = corpus_pipeline.STAGES[1][1](spark, corpus_pipeline.staged(kept, "t"), sf_dir)
-    prints = {r["doc_id"]: slow_print(r["text"], 5) for r in kept.collect()}
-    values = sorted(set(prints.values()))
-    array = np.array(values, np.uint64)
-    near = [(values[i], values[j]) for i in range(len(values)) for j in (np.flatnonzero(np.bitwise_count(array[i] ^ array[i + 1:]) <= 6) + i + 1).tolist()]
-    top = classes(near, values)
-    left = [top[prints[r["doc_id"]]] for r in unique.collect()]
-    assert len(left) == len(set(left)) == len({top[p] for p in prints.values()})
+    sets = {r["doc_id"]: shingles(r["text"]) for r in kept.collect()}
+    top = classes(similar_pairs(sets, 0.8), list(sets))
+    left = {r["doc_id"] for r in unique.collect()}
+    groups = set(top.values())
+    assert {top[d] for d in left} == groups
+    assert len(left) - len(groups) <= 0.1 * (len(sets) - len(groups))
     clean = corpus_pipeline.STAGES[2][1](spark, corpus_pipeline.staged(unique, "t"), sf_dir)
     bench = {tuple(w[i:i + min(10, len(w))]) for w in (plain(r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()) for i in range(max(1, len(w) - 9)) if w}
     sizes = {len(g) for g in bench}

@@ -9,10 +9,15 @@ radius plus threshold, so it meets the home of each partner. Per anchor, homes a
 A text's words are runs other than blank and 0x09 to 0x0D with A-Z lower-cased; fewer words than a shingle make one
 shingle; a text without words (null, empty) has fingerprint 0 and is linked like any other. Rows that repeat share a
 fingerprint and so a component. A component is named by its least key; null keys are passed over unless all are null.
+
+With ``tables`` the bits are also dealt to blocks in other orders, and a pair is met if it is close in one block of any.
+Pairs up to ``reach`` bits apart are met for certain, those beyond, up to ``threshold``, the likelier the closer. With
+``similarity`` the closest links are then held against the texts, by the Jaccard similarity of their sets of shingles.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -35,18 +40,25 @@ _LANES = sum(((np.arange(256, dtype=np.uint64) >> np.uint64(j)) & np.uint64(1))
 _AT_ONCE = 255 * 400
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """A bit is 1 if it is set in over half of the hashes of all shingles, repeats included."""
+def _shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of all shingles in order, repeats included, a part at a time."""
     words = text.translate(_LOWER).split()
     if not words:
-        return 0
+        return
     joined, lengths = b" ".join(words), np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     many = max(1, len(words) - shingle + 1)
     starts, ends = (ends - lengths)[:many].tolist(), ends[min(shingle, len(words)) - 1:].tolist()
-    digest, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    digest = xxhash.xxh64_intdigest
     for at in range(0, many, _AT_ONCE):
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at:at + _AT_ONCE], ends[at:at + _AT_ONCE])], np.uint64)
+        yield np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at:at + _AT_ONCE], ends[at:at + _AT_ONCE])], np.uint64)
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """A bit is 1 if it is set in over half of the hashes of all shingles, repeats included."""
+    counts, many = np.zeros(64, np.int64), 0
+    for hashes in _shingle_hashes(text, shingle):
+        many += len(hashes)
         lanes = _LANES[hashes.view(np.uint8).reshape(-1, 8)]
         sums = np.add.reduceat(lanes, np.arange(0, len(lanes), 255), axis=0)
         counts += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
@@ -108,40 +120,61 @@ def blocks_of(threshold: int, blocks: int) -> list[Block]:
     return made
 
 
-def anchored(prints: DataFrame, threshold: int, blocks: int) -> DataFrame:
+def _reordered(prints: np.ndarray, table: int) -> np.ndarray:
+    """The same bits in the order of a table; the first table leaves them as they are."""
+    if table == 0:
+        return prints
+    bits = np.unpackbits(prints.view(np.uint8).reshape(-1, 8), axis=1)
+    order = np.random.default_rng([SEED, table]).permutation(64)
+    return np.ascontiguousarray(np.packbits(bits[:, order], axis=1)).view(np.uint64).ravel()
+
+
+def anchored(prints: DataFrame, reach: int, blocks: int, tables: int = 1) -> DataFrame:
     """Every distinct fingerprint at each of its anchors: (cell, copied, fingerprint); copied is 0 at home, else 1."""
     def run(batches):
-        codes = blocks_of(threshold, blocks)
+        codes = blocks_of(reach, blocks)
         for batch in batches:
-            values = batch.column("fingerprint").to_numpy().view(np.uint64)
-            for at in range(0, len(values), 2000):
-                for number, code in enumerate(codes):
-                    anchors, own, copies = code.copies(values[at:at + 2000])
-                    cells = anchors.view(np.int64) | np.int64(number << 48)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(cells), pa.array((~own).astype(np.int32)), pa.array(copies.view(np.int64))],
-                        names=["cell", "copied", "fingerprint"])
+            every = batch.column("fingerprint").to_numpy().view(np.uint64)
+            for at in range(0, len(every), 2000):
+                some = every[at:at + 2000]
+                for table in range(tables):
+                    values = _reordered(some, table)
+                    back = np.argsort(values)
+                    for number, code in enumerate(codes, table * blocks):
+                        anchors, own, copies = code.copies(values)
+                        if table:
+                            copies = some[back[np.searchsorted(values[back], copies)]]
+                        cells = anchors.view(np.int64) | np.int64(number << 48)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(cells), pa.array((~own).astype(np.int32)), pa.array(copies.view(np.int64))],
+                            names=["cell", "copied", "fingerprint"])
 
     return prints.select("fingerprint").mapInArrow(run, "cell long, copied int, fingerprint long")
 
 
-def _forest(pairs: np.ndarray) -> list[tuple[int, int]]:
-    """The pairs that join two groups not yet joined by earlier ones."""
-    parent: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while (up := parent.setdefault(x, x)) != x:
-            parent[x] = parent[up]
-            x = up
-        return x
-
-    kept = []
-    for a, b in pairs.tolist():
-        x, y = top(a), top(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append((a, b))
-    return kept
+def _forest(pairs: np.ndarray) -> np.ndarray:
+    """Closest pairs first, those that join two groups not yet joined. Pairs within a group are passed over in bulk."""
+    nodes, ends = np.unique(pairs, return_inverse=True)
+    ends = ends.reshape(-1, 2)
+    todo = np.argsort(np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]), kind="stable")
+    group, kept, size = np.arange(len(nodes)), [], 1024
+    while len(todo):
+        head, todo = todo[:size], todo[size:]
+        above = group.tolist()
+        for place, (x, y) in zip(head.tolist(), ends[head].tolist()):
+            while above[x] != x:
+                x = above[x]
+            while above[y] != y:
+                y = above[y]
+            if x != y:
+                above[max(x, y)] = min(x, y)
+                kept.append(place)
+        group = np.array(above, np.int64)
+        while (group != group[group]).any():
+            group = group[group]
+        todo = todo[group[ends[todo, 0]] != group[ends[todo, 1]]]
+        size *= 2
+    return pairs[kept]
 
 
 def _near(homes: np.ndarray, others: np.ndarray, threshold: int) -> np.ndarray:
@@ -151,15 +184,17 @@ def _near(homes: np.ndarray, others: np.ndarray, threshold: int) -> np.ndarray:
         part = others[at:at + step]
         h, o = np.nonzero(np.bitwise_count(homes[:, None] ^ part[None, :]) <= threshold)
         pairs = np.stack([homes[h], part[o]], axis=1)
-        found.append(np.array(_forest(pairs[pairs[:, 0] != pairs[:, 1]]), np.uint64).reshape(-1, 2))
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+        found.append(_forest(pairs) if len(pairs) > 1 else pairs)
     return np.concatenate(found)
 
 
-def links(prints: DataFrame, threshold: int = THRESHOLD, blocks: int = BLOCKS) -> DataFrame:
+def links(prints: DataFrame, threshold: int = THRESHOLD, blocks: int = BLOCKS, tables: int = 1, reach: int | None = None) -> DataFrame:
     """Edges (u, v) between distinct fingerprints that connect the same ones as all pairs within the threshold do.
 
     Rows come sorted by cell with homes first; a task holds the homes of one cell and passes the copies by in batches.
-    Of the pairs in a batch only those are kept that join groups not joined before, so output never exceeds input.
+    Of the pairs in a batch, closest first, only those are kept that join groups not joined before, so output never
+    exceeds input.
     """
     def run(batches):
         last, homes = None, np.zeros(0, np.uint64)
@@ -180,19 +215,54 @@ def links(prints: DataFrame, threshold: int = THRESHOLD, blocks: int = BLOCKS) -
                     pairs.append(_near(homes, values[a:b], threshold))
             if len(cells):
                 last = cells[-1]
-            kept = np.array(_forest(np.concatenate(pairs)) if pairs else [], np.uint64).reshape(-1, 2).view(np.int64)
+            kept = (_forest(np.concatenate(pairs)) if pairs else np.zeros((0, 2), np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(kept[:, 0]), pa.array(kept[:, 1])], names=["u", "v"])
 
-    rows = anchored(prints, threshold, blocks).repartition("cell").sortWithinPartitions("cell", "copied")
+    rows = anchored(prints, threshold if reach is None else reach, blocks, tables).repartition("cell").sortWithinPartitions("cell", "copied")
     return rows.mapInArrow(run, "u long, v long")
 
 
+def shingle_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """(print, hashes): the different shingles of one document for each (key, print) wanted."""
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                prints, sets = [], []
+                for mark, body in zip(piece.column("print").to_pylist(), piece.column("text")):
+                    body = body.as_buffer().to_pybytes() if body.is_valid else b""
+                    if fingerprint(body, shingle) == mark:  # another row may bear the same key
+                        prints.append(mark)
+                        sets.append(np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingle_hashes(body, shingle)])).view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["print", "hashes"])
+
+    texts = docs.select(docs[key].cast("long").alias("key"), docs[text].alias("text")).join(wanted, "key")
+    return texts.select("print", "text").mapInArrow(run, "print long, hashes array<long>").dropDuplicates(["print"])
+
+
+def verified(edges: DataFrame, docs: DataFrame, distinct: DataFrame, similarity: float, key: str, text: str, shingle: int) -> DataFrame:
+    """The edges between fingerprints whose texts share enough of their different shingles.
+
+    A fingerprint stands for the document with its least key; one that has only null keys keeps no edge.
+    """
+    edges = staged(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links")
+    nodes = edges.select(F.explode(F.array("u", "v")).alias("print")).distinct()
+    wanted = nodes.join(distinct, F.col("print") == F.col("fingerprint")).select(F.col("least").alias("key"), "print")
+    sets = staged(shingle_sets(docs, wanted, key, text, shingle), "shingle-sets")
+    one, two = (sets.select(F.col("print").alias(end), F.col("hashes").alias(f"{end}_set")) for end in "uv")
+    shared = edges.join(one, "u").join(two, "v").select(
+        "u", "v", F.size("u_set").alias("n_u"), F.size("v_set").alias("n_v"), F.size(F.array_intersect("u_set", "v_set")).alias("n"))
+    return shared.where(F.col("n") >= similarity * (F.col("n_u") + F.col("n_v") - F.col("n"))).select("u", "v")
+
+
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD,
-               blocks: int = BLOCKS) -> DataFrame:
+               blocks: int = BLOCKS, tables: int = 1, reach: int | None = None, similarity: float | None = None) -> DataFrame:
     """(key, fingerprint, component) of every row. Equal fingerprints are compared once, whatever their number."""
     prints = staged(fingerprints(docs, key, text, shingle), "fingerprints")
     distinct = staged(prints.groupBy("fingerprint").agg(F.min("key").alias("least")), "fingerprints-distinct")
-    roots = least_nodes(links(distinct, threshold, blocks))
+    edges = links(distinct, threshold, blocks, tables, reach)
+    if similarity is not None:
+        edges = verified(edges, docs, distinct, similarity, key, text, shingle)
+    roots = least_nodes(edges)
     rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left")
     rooted = rooted.select(F.col("fingerprint").alias("print"), "least", F.coalesce("root", "fingerprint").alias("root"))
     named = rooted.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("component"))
