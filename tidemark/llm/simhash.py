@@ -38,6 +38,8 @@ _LOWER = LOWER.tobytes()
 #: For each byte its bits as eight one-byte counters in a 64-bit number.
 _LANES = sum(((np.arange(256, dtype=np.uint64) >> np.uint64(j)) & np.uint64(1)) << np.uint64(8 * j) for j in range(8))
 _AT_ONCE = 255 * 400
+#: Pairs a task holds before it thins them out.
+PAIRS_AT_ONCE = 500_000
 
 
 def _shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
@@ -193,11 +195,11 @@ def links(prints: DataFrame, threshold: int = THRESHOLD, blocks: int = BLOCKS, t
     """Edges (u, v) between distinct fingerprints that connect the same ones as all pairs within the threshold do.
 
     Rows come sorted by cell with homes first; a task holds the homes of one cell and passes the copies by in batches.
-    Of the pairs in a batch, closest first, only those are kept that join groups not joined before, so output never
-    exceeds input.
+    Of the pairs gathered in a task, closest first, only those are kept that join groups not joined before; they are
+    thinned out whenever they exceed PAIRS_AT_ONCE, and passed on if that does not halve them.
     """
     def run(batches):
-        last, homes = None, np.zeros(0, np.uint64)
+        last, homes, held = None, np.zeros(0, np.uint64), np.zeros((0, 2), np.uint64)
         for batch in batches:
             cells, copied = batch.column("cell").to_numpy(), batch.column("copied").to_numpy()
             values = batch.column("fingerprint").to_numpy().view(np.uint64)
@@ -215,8 +217,17 @@ def links(prints: DataFrame, threshold: int = THRESHOLD, blocks: int = BLOCKS, t
                     pairs.append(_near(homes, values[a:b], threshold))
             if len(cells):
                 last = cells[-1]
-            kept = (_forest(np.concatenate(pairs)) if pairs else np.zeros((0, 2), np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(kept[:, 0]), pa.array(kept[:, 1])], names=["u", "v"])
+            held = np.concatenate([held, *pairs])
+            if len(held) > PAIRS_AT_ONCE:
+                held = _forest(held)
+                if len(held) > PAIRS_AT_ONCE // 2:
+                    yield written(held)
+                    held = held[:0]
+        yield written(_forest(held) if len(held) else held)
+
+    def written(pairs):
+        u, v = np.ascontiguousarray(pairs.T).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
     rows = anchored(prints, threshold if reach is None else reach, blocks, tables).repartition("cell").sortWithinPartitions("cell", "copied")
     return rows.mapInArrow(run, "u long, v long")
