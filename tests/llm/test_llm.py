@@ -277,6 +277,33 @@ def test_similar_texts_are_linked_and_others_are_not(spark):
     assert found[-1] == found[-2] and found[-3] == found[-4] and found[-5] == found[0] == -5 and found[None] == found[4] == 4
 
 
+def test_rejected_links_do_not_hide_a_confirmed_one(spark):
+    """A and B are alike; C shares boilerplate with both, is closer to each in bits, and is alike to neither."""
+    def meet(x, y):
+        made = [simhash._reordered(np.array([x, y], np.uint64), table) for table in range(5)]
+        return any(int((v[0] ^ v[1]) >> b.shift & np.uint64((1 << b.size) - 1)).bit_count() <= 1 for v in made for b in simhash.blocks_of(5, 3))
+
+    for seed in range(5000):
+        rng = random.Random(seed)
+        base = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        a, b, c = list(base), list(base), list(base)
+        b[30] = "b"
+        for i in (10, 40):
+            c[i] = "c"
+        texts = [" ".join(x) for x in (a, b, c)]
+        x, y, z = (simhash.fingerprint(t.encode(), 5) & (2**64 - 1) for t in texts)
+        if max((x ^ z).bit_count(), (y ^ z).bit_count()) < (x ^ y).bit_count() <= 12 and meet(x, y) and meet(x, z) and meet(y, z):
+            break
+    else:
+        raise AssertionError("no such triangle")
+    sets = [shingles(t) for t in texts]
+    alike = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    assert alike(0, 1) >= 0.8 > max(alike(0, 2), alike(1, 2))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r["key"]: r["component"] for r in simhash.components(frame, shingle=5, threshold=12, blocks=3, tables=5, reach=5, similarity=0.8).collect()}
+    assert found == {0: 0, 1: 0, 2: 2}
+
+
 def test_closest_pairs_form_the_forest():
     rng = np.random.default_rng(3)
     values = rng.integers(0, 2**63, 60, np.uint64)
