@@ -190,6 +190,12 @@ def test_decontamination_equals_brute_force(spark, docs, monkeypatch):
         assert decontaminate.clean_documents(numbered, bench).count() == sum(not w[1] for w in wanted.values())
 
 
+def test_items_without_an_id_are_listed_last():
+    passage = " ".join(f"w{i}" for i in range(10))
+    grams = decontaminate.Grams([(None, passage), ("b", passage), ("a", passage), (None, passage)], 10)
+    assert decontaminate.scan_texts(pa.array([passage, None]), grams)[2].to_pylist() == [["a", "b", None], []]
+
+
 # 6 -----------------------------------------------------------------------------------------------------------------
 
 def slow_print(text, k):

@@ -3,7 +3,7 @@
 Words are runs of ASCII letters and digits and of anything beyond ASCII, with A-Z lower-cased. A window is ``size``
 consecutive words of an item; an item of fewer words is one window. Windows are looked up by a 64-bit hash, and each
 hit is verified word for word. Null and empty texts have no words and are never hit. Repeated items with one id count
-once, items with equal windows are all reported.
+once, items with equal windows are all reported. Items without an id are one item with a null id, listed last.
 """
 
 from __future__ import annotations
@@ -100,7 +100,7 @@ def scan_texts(texts: pa.Array, grams: Grams) -> list[pa.Array]:
         spans[doc] = [[int(x), int(y)] for x, y in edge.reshape(-1, 2)]
     return [
         pa.array(np.diff(first), pa.int64()), pa.array(hits[first[1:]] - hits[first[:-1]], pa.int64()),
-        pa.array([sorted(items.get(i, ())) for i in range(len(texts))], pa.list_(pa.string())),
+        pa.array([sorted(items.get(i, ()), key=lambda n: (n is None, n or "")) for i in range(len(texts))], pa.list_(pa.string())),
         pa.array(spans, pa.list_(pa.list_(pa.int64()))),
     ]
 
