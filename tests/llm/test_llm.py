@@ -351,6 +351,15 @@ def test_license_phrases_and_templates(spark):
     assert labels[2] == "cc-by,cc-by-nc" and labels[6] == "mit-text" and labels[7] == "gpl,gpl-3.0" and labels[5] == "" and len(found) == len(rows)
 
 
+def test_every_licence_of_a_long_document_is_found(spark):
+    wording = {label: w for label, w, _ in licenses.TEMPLATES}
+    prose = " some plain prose " * 300
+    both = prose.join(["", wording["bsd"], wording["mit-text"], wording["apache-2.0"], ""])
+    rows = [(0, both)] + [(i, wording["apache-2.0"]) for i in range(1, 10)]
+    found = licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string")).where("key = 0").first()
+    assert found["labels"] == "apache,apache-2.0,bsd,mit-text"
+
+
 # 8 and 9 -----------------------------------------------------------------------------------------------------------
 
 def slow_bytes(texts, width):
