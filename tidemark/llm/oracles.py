@@ -161,3 +161,25 @@ FROM docs LEFT JOIN base ON docs.r = base.r LEFT JOIN own ON docs.r = own.r"""
 
 
 LICENSES = _licenses()
+
+EXACT_COPIES = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+    sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+HARD_NEGATIVES = """
+WITH labelled AS (SELECT vec_id, embedding, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label FROM embeddings),
+valid AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM labelled
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, embedding) = 1),
+scored AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    coalesce(list_sum(list_transform(list_zip(a.q, r.q), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+    FROM valid a JOIN valid r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= 5"""

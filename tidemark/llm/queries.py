@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, licenses, mixing, oracles, pii, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_filter
+from tidemark.llm import decontaminate, exact_dedup, hard_negatives, licenses, mixing, oracles, pii, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_filter
+from tidemark.session import removed_at_end, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +111,24 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("key").alias("doc_id"), *map(count, ("email", "ip", "card", "phone")),
         F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
+@registered("op11_exact_dedup", oracles.EXACT_COPIES)
+def exact_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Equal texts, entered into a digest index in two batches, larger ids first."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = exact_dedup.opened(spark, shared_folder(spark, "digest-index"), buckets)
+    rows = exact_dedup.digested(table(spark, folder, "documents").select("doc_id", "text"))
+    for batch in exact_dedup.descending_halves(rows):
+        exact_dedup.ingest(index, batch)
+    removed_at_end(spark, index.folder)
+    return exact_dedup.verdicts(index, rows).select(
+        F.col("key").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@registered("op12_hard_negatives", oracles.HARD_NEGATIVES)
+def hard(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of other labels that score almost as high with an anchor as its positives do."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(vectors, label=moved)
