@@ -183,3 +183,33 @@ SELECT anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, vec_id
 FROM positives JOIN scored USING (anchor_id)
 WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
 WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= 5"""
+
+
+#: CRC-32 of the decimal digits of an id, byte by byte over the reflected polynomial.
+_CRC_TABLE = """list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
+
+CONVERSATIONS = f"""
+WITH turns AS (SELECT conv_id, length(coalesce(text, ''))::BIGINT AS chars,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS unit,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, unit) AS place FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (SELECT {_CRC_TABLE} AS t),
+heads AS (SELECT conv_id, conv_id - conv_id % 100 AS lender, xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns), crc),
+rebuilt AS (SELECT heads.conv_id, unit, chars, 0 AS own, place FROM heads JOIN turns ON turns.conv_id = lender AND place <= h
+    UNION ALL SELECT conv_id, unit, chars, 1, place FROM heads JOIN turns USING (conv_id) WHERE place > h),
+paths AS (SELECT heads.conv_id, coalesce(list(unit ORDER BY own, place) FILTER (unit IS NOT NULL), []) AS units,
+    coalesce(list(chars ORDER BY own, place) FILTER (unit IS NOT NULL), []) AS chars FROM heads LEFT JOIN rebuilt USING (conv_id) GROUP BY 1),
+steps AS (SELECT conv_id, units[:d] AS node, d, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars, d = len(units) AS ends
+    FROM (SELECT *, unnest(range(len(units) + 1)) AS d FROM paths)),
+nodes AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(chars) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM steps GROUP BY node, d),
+kids AS (SELECT node[:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+whole AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (node)),
+below AS (SELECT node[:a] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(d + 1)) AS a FROM whole) GROUP BY 1)
+SELECT w.conv_id, w.d::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, b.n_leaves,
+    b.saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
+FROM whole w JOIN below b USING (node) LEFT JOIN whole p ON p.node = w.node[:w.d - 1] AND w.d > 0"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, hard_negatives, licenses, mixing, oracles, pii, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_filter
+from tidemark.llm import conversation_trie, decontaminate, exact_dedup, hard_negatives, licenses, mixing, oracles, pii, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, url_filter
+from tidemark.llm.staging import staged
 from tidemark.session import removed_at_end, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +133,12 @@ def hard(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mined(vectors, label=moved)
+
+
+@registered("op13_conversation_trie", oracles.CONVERSATIONS)
+def conversation_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the prefix tree of conversations that borrow their first turns from another one."""
+    paths = staged(conversation_trie.turns_of(table(spark, folder, "conversations")), "turns")
+    conv = F.col("conv_id")
+    heads = conversation_trie.with_borrowed_heads(paths, conv - conv % 100, F.crc32(conv.cast("string")) % 6, 5)
+    return conversation_trie.nodes_of(staged(heads, "paths"))
