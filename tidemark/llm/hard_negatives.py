@@ -13,8 +13,8 @@ the window that each positive's score opens. Each group hands on at most ``posit
 Defined results: rows with a null id, label or vector, or with a null or non-finite component, take no part. An id counts
 once: of rows that share one, the one with the least label, then the least vector. Ties go to the smaller id. Vectors of
 different lengths are compared over the dimensions they share; empty ones score 0. The window of a negative score is
-empty. Scores are exact integers; one beyond 64 bits is reported as the nearest 64-bit number. Anchors without a positive,
-and positives without a negative, give no rows; an empty table gives none. Other columns play no part.
+empty. Scores are exact integers; one beyond 64 bits counts as the nearest 64-bit number. Anchors without a positive, and
+positives without a negative, give no rows; an empty table gives none. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -80,8 +80,9 @@ def scan(anchor: np.ndarray, columns: np.ndarray, ends: tuple[np.ndarray, np.nda
 
 def at_once(anchor: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """Scores too large for doubles, as Python integers."""
-    whole = [np.array([[int(x) for x in row] for row in np.atleast_2d(part)], dtype=object) for part in (anchor, columns.T)]
-    return whole[1].reshape(columns.shape[1], -1) @ whole[0].reshape(-1)
+    whole = [int(x) for x in anchor]
+    scores = [sum(a * int(x) for a, x in zip(whole, row)) for row in columns.T]
+    return np.array([min(max(score, LONG.min), LONG.max) for score in scores], dtype=object)
 
 
 def among_best(k: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
@@ -177,8 +178,7 @@ def negatives_in(anchors: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFr
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=names, dtype=object)
-    return frame.apply(lambda column: column.map(lambda x: min(max(int(x), LONG.min), LONG.max))).astype("int64")
+    return pd.DataFrame(rows, columns=names, dtype="int64")
 
 
 def _blocks(n: int, tasks: int) -> int:
