@@ -1,6 +1,7 @@
 """Streams over several triggers, late rows, restarts and sinks."""
 
 import os
+import random
 import time
 from collections import Counter
 from datetime import timedelta
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_units_batch import SECOND, skewed_events
+from tests.unit_simulation import units as simulated
 from tidemark.catalog import stand_ins
 from tidemark.operators import units as batch_units
 from tidemark.operators import windows
@@ -73,12 +75,13 @@ def test_slices_of_time_give_the_same_units(spark, tmp_path, slice_rows, spans):
         str(tmp_path / "table")
     )
     rows = spark.read.parquet(str(tmp_path / "table"))
-    bounds = by_time(rows, "ts", slice_rows).groupBy("slice").agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count("*").alias("n")).orderBy("slice").collect()
-    assert len(bounds) == spans and all(x.b < y.a for x, y in zip(bounds, bounds[1:])) and sum(x.n for x in bounds) == len(events)
+    written = spark.read.parquet(by_time(rows, "ts", slice_rows, 4))
+    bounds = written.groupBy("slice").agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count("*").alias("n")).orderBy("slice").collect()
+    assert len(bounds) == spans and max(x.n for x in bounds) < 1.5 * len(events) / spans and all(x.b < y.a for x, y in zip(bounds, bounds[1:])) and sum(x.n for x in bounds) == len(events)
     limit = {"idle": timedelta(seconds=5000)}
     found = replay_in_slices(
         rows, "ts", lambda stream: stream_units.units(stream, "key", "ts", 10, **limit),
-        partial(replay, mode="append"), slice_rows,
+        partial(replay, mode="append"), slice_rows, 4,
     )
     assert closed(found) == closed(batch_units.units(rows, "key", "ts", "id", 10, flush=False, **limit))
 
@@ -90,25 +93,72 @@ def test_rows_without_a_time_lie_in_no_span(spark):
     assert found.count() == 0
 
 
-@pytest.mark.parametrize("slice_rows", [10_000, 120, 60])
-def test_windows_do_not_depend_on_the_number_of_spans(spark, timed_files, slice_rows):
+@pytest.mark.parametrize("slice_rows, least", [(10_000, 1), (10_000, 5), (60, 1)])
+def test_windows_do_not_depend_on_the_number_of_spans(spark, timed_files, slice_rows, least):
     folder, events = timed_files
     rows = spark.read.schema(SCHEMA).parquet(folder).select("key", F.timestamp_micros("us").alias("ts"))
-    batches = []
+    starts, arrived = [], []
 
     def counted(stream):
         return windows.tumbling(stream, "ts", "1 minute", "key", late="2 minutes", n=F.count(F.lit(1)))
 
-    def run(stream, **folders):
-        batches.append(1)
-        return replay(stream, "update", ["window_start", "window_end", "key"], **folders)
+    def run(stream, feed, **folders):
+        starts.append(1)
+        steps = [lambda step=step: arrived.append(1) or step() for step in feed]
+        return replay(stream, "update", ["window_start", "window_end", "key"], feed=steps, **folders)
 
-    found = replay_in_slices(rows, "ts", counted, run, slice_rows)
+    found = replay_in_slices(rows, "ts", counted, run, slice_rows, least)
     direct = windows.tumbling(rows, "ts", "1 minute", "key", n=F.count(F.lit(1)))
-    assert len(batches) >= 4
+    assert len(starts) == 1 and len(arrived) >= max(least, min(len(events) // slice_rows, 40) - 3)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, direct.collect()))
 
 
+def test_rows_without_a_time_may_come_last(spark):
+    rows = spark.createDataFrame([(i, i * SECOND if i % 3 else None) for i in range(60)], "key bigint, us bigint")
+    rows = rows.selectExpr("key", "timestamp_micros(us) AS ts")
+    written = spark.read.parquet(by_time(rows, "ts", 10, timeless=True))
+    assert written.count() == 60 and written.where("ts IS NULL").select("slice").distinct().count() == 1
+    assert written.where("ts IS NULL").first().slice == written.agg(F.max("slice")).first()[0] == 3
+
+
+def shuffled(events, late_us, seed):
+    """An order of arrival in which no event comes ``late_us`` or more behind the newest before it."""
+    rng = random.Random(seed)
+    return [event for _, event in sorted(((event[1] + rng.randrange(late_us), event) for event in events), key=lambda pair: pair[0])]
+
+
+@pytest.mark.parametrize("job, files", [("idle", 1), ("idle", 5), ("deadline", 4), ("once", 3), ("members", 4)])
+def test_units_of_events_out_of_order(spark, tmp_path, job, files):
+    """Shuffled within 50 seconds and cut into files at any place: the units of the events in order."""
+    late, events = 50 * SECOND, skewed_events(9, 500, 12, 600)
+    arrived = shuffled(events, late, files)
+    size = -(-len(arrived) // files)
+    folder = str(tmp_path / "in")
+    for number in range(files):
+        write_file(folder, number, arrived[number * size : (number + 1) * size])
+    write_file(folder, files, [(99, 10_000 * SECOND, -1)])  # takes the watermark past all others
+    rows = stream_of(spark, folder)
+    limits = {"idle": {"idle": 30 * SECOND}, "deadline": {"deadline": 90 * SECOND}, "members": {"idle": 30 * SECOND}, "once": {"deadline": 90 * SECOND}}
+    limit = {name: timedelta(microseconds=us) for name, us in limits[job].items()}
+    expected = simulated(events, 10, **limits[job])
+    if job == "once":
+        found = replay(stream_units.once_units(rows, "key", "ts", 10, late="50 seconds", **limit), "append", partitions=2)
+        expected = {unit for unit in expected if unit[1] == 1 and unit[2] == 10}
+    elif job == "members":
+        rows = rows.withColumn("member", F.unix_micros("ts"))
+        found = replay(stream_units.exact_members(rows, "key", "ts", "id", 10, ["member"], late="50 seconds", **limit), "append", partitions=2)
+        full = Counter((r.key, r.member - BASE) for r in found.collect())
+        bounds = [(key, first, last) for key, _, n, first, last in expected if n == 10]
+        assert sum(full.values()) == 10 * len(bounds) > 0
+        assert all(any(k == key and first <= us <= last for k, first, last in bounds) for key, us in full)
+        return
+    else:
+        found = replay(stream_units.units(rows, "key", "ts", 10, late="50 seconds", **limit), "append", partitions=2)
+    first, last = (F.unix_micros(name) - BASE for name in ("first_ts", "last_ts"))
+    ours = sorted(tuple(r) for r in found.select("key", "n", first, last).collect())
+    assert ours == sorted((key, n, a, b) for key, _, n, a, b in expected)
+
+
 def test_branches_write_each_output_once(spark, timed_files):
     folder, _ = timed_files
     stream = stream_units.units(stream_of(spark, folder), "key", "ts", 10, deadline=timedelta(seconds=90))

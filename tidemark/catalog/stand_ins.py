@@ -13,6 +13,10 @@ from tidemark.sources.streams import table_stream
 from tidemark.streaming.replay import replay_in_slices
 
 
+#: Spans of time that a replay of the test tables has at least, so that their streams go through several micro-batches.
+SPANS = 4
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events")
 
@@ -23,13 +27,13 @@ def event_stream(spark: SparkSession, folder: str, files_per_trigger: int | None
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def replayed(spark: SparkSession, folder: str, columns: list[str], build, run) -> DataFrame:
+def replayed(spark: SparkSession, folder: str, columns: list[str], build, run, timeless: bool = False):
     """The events, in spans of time, through a streaming job; times become instants, as in ``event_stream``."""
 
     def instants(rows):
         return build(rows.withColumn("ts", F.col("ts").cast("timestamp")))
 
-    return replay_in_slices(events(spark, folder).select("ts", *columns), "ts", instants, run)
+    return replay_in_slices(events(spark, folder).select("ts", *columns), "ts", instants, run, least=SPANS, timeless=timeless)
 
 
 def log(spark: SparkSession, folder: str) -> DataFrame:

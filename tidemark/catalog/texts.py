@@ -13,7 +13,7 @@ from tidemark.operators.words import letter_words, mentions
 from tidemark.plans import mentions as trend
 from tidemark.plans import text_reports
 from tidemark.sources.files import table
-from tidemark.streaming.replay import replay
+from tidemark.streaming.replay import replay_into
 
 _WORDS = (
     "SELECT word FROM (SELECT unnest(string_split(line, ' ')) AS word "
@@ -113,10 +113,10 @@ def mention_top20(spark, folder):
 
 @registered("stream_mention_top20", _TREND)
 def stream_mention_top20(spark, folder):
-    """Windows are kept up to date by the stream (old ones leave the state); the ranking reads them back."""
-    counts = given.replayed(
+    """Ranked at every trigger by what keeps the ranking; the last one is shown."""
+    kept = given.replayed(
         spark, folder, ["user_id", "event_id", "event_type"],
         lambda rows: trend.mention_windows(trend.posts_of_messages(given.post_messages(rows))),
-        partial(replay, mode="update", keys=["window_start", "window_end", "mention"]),
+        partial(replay_into, trend.trending_view, mode="update"),
     )
-    return given.wall_clock(trend.trending(counts), "window_start", "window_end")
+    return given.wall_clock(kept.current().drop("rank"), "window_start", "window_end")

@@ -3,6 +3,8 @@
 from datetime import timedelta
 from functools import partial
 
+from pyspark.sql import functions as F
+
 from tidemark.catalog import stand_ins as given
 from tidemark.catalog.registry import registered
 from tidemark.operators import units
@@ -54,6 +56,15 @@ _MEMBERS = """
 _NUMBERED = "row_number() OVER (PARTITION BY user_id ORDER BY first_ts) AS unit_no"
 
 
+# A stream takes events that its watermark, in whole milliseconds, has passed; later ones are still open.
+_PASSED = "(SELECT * FROM events WHERE ts <= (SELECT date_trunc('millisecond', max(ts)) FROM events))"
+_NOW = "(SELECT date_trunc('millisecond', max(ts)) FROM events)"
+
+
+def _streamed(sql: str) -> str:
+    return sql.replace("FROM events", f"FROM {_PASSED}")
+
+
 def _note(text: str) -> str:
     return f"CASE status WHEN 'completed' THEN 'Completed' ELSE {text} END AS note"
 
@@ -96,19 +107,24 @@ def units_exact_members(spark, folder):
 
 @registered(
     "stream_units_idle",
-    f"{_IDLE} SELECT * FROM u WHERE n = 10 OR last_ts + INTERVAL 24 hour <= (SELECT max(ts) FROM events)",
+    f"{_streamed(_IDLE)} SELECT * FROM u WHERE n = 10 OR last_ts + INTERVAL 24 hour <= {_NOW}",
 )
 def stream_units_idle(spark, folder):
-    found = given.replayed(
-        spark, folder, ["user_id"], lambda rows: stream_units.units(rows, "user_id", "ts", SIZE, idle=IDLE), APPENDED
-    )
+    """Units of keyed broker records, re-shaped from their binary form."""
+
+    def build(rows):
+        events = recon.events_of_messages(given.broker_records(rows, F.col("value"), "reconreplay"))
+        return stream_units.units(events, "key", "timestamp", SIZE, idle=IDLE)
+
+    found = given.replayed(spark, folder, ["user_id", "event_id", "value"], build, APPENDED)
+    found = found.withColumn("user_id", F.col("key").cast("bigint")).drop("key")
     return given.wall_clock(found, "first_ts", "last_ts")
 
 
 @registered(
     "stream_units_deadline",
-    f"""{_DEADLINE} SELECT *, status AS branch FROM u
-        WHERE n = 10 OR first_ts + INTERVAL 120 hour <= (SELECT max(ts) FROM events)""",
+    f"""{_streamed(_DEADLINE)} SELECT *, status AS branch FROM u
+        WHERE n = 10 OR first_ts + INTERVAL 120 hour <= {_NOW}""",
 )
 def stream_units_deadline(spark, folder):
     """Full and timed-out units go to outputs of their own."""
@@ -120,7 +136,7 @@ def stream_units_deadline(spark, folder):
     return given.wall_clock(found, "first_ts", "last_ts")
 
 
-@registered("stream_units_once", _ONCE)
+@registered("stream_units_once", _streamed(_ONCE))
 def stream_units_once(spark, folder):
     found = given.replayed(
         spark, folder, ["user_id"],
@@ -129,7 +145,7 @@ def stream_units_once(spark, folder):
     return given.wall_clock(found, "first_ts", "last_ts")
 
 
-@registered("stream_units_exact_members", _MEMBERS)
+@registered("stream_units_exact_members", _streamed(_MEMBERS))
 def stream_units_exact_members(spark, folder):
     """Members wait in the state as columns and are written once their unit is full."""
 

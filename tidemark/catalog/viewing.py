@@ -10,9 +10,10 @@ from tidemark.functions.registered import register_sql_functions
 from tidemark.operators import windows
 from tidemark.operators.rows import stacked
 from tidemark.plans import viewing
-from tidemark.session import shared_folder
+from tidemark.session import removed_at_end, shared_folder
 from tidemark.sources import streams
-from tidemark.streaming.replay import as_lines, replay, replay_in_slices
+from tidemark.streaming.replay import arrivals, by_time, replay, replay_in_slices, replay_into
+from tidemark.streaming.views import DistinctRows
 
 
 def _tumbling(size: str, total: str) -> str:
@@ -33,9 +34,8 @@ def _sliding(size: str, slide: str, copies: int, key: str, total: str) -> str:
     """
 
 
-def _views(spark, folder, build, *keys):
-    """Views in spans of time through a job that updates its results; the last ones per key."""
-    run = partial(replay, mode="update", keys=keys)
+def _views(spark, folder, build, run):
+    """Views in spans of time through a streaming job."""
     return given.replayed(spark, folder, ["user_id", "event_id", "event_type"], lambda rows: build(given.view_records(rows)), run)
 
 
@@ -80,15 +80,16 @@ def stream_running_update(spark, folder):
 
 @registered("stream_window_tumbling", _tumbling("1 minute", "score"))
 def stream_window_tumbling(spark, folder):
-    found = _views(spark, folder, viewing.windowed_seconds, "window_start", "window_end", "course_name")
+    keys = ["window_start", "window_end", "course_name"]
+    found = _views(spark, folder, viewing.windowed_seconds, partial(replay, mode="update", keys=keys))
     return given.wall_clock(found, "window_start", "window_end").orderBy(F.desc("score"), "window_start", "course_name")
 
 
 @registered("stream_view_sliding", _sliding("60 minute", "1 minute", 60, "course_name", "sum(5)::BIGINT AS seconds"))
 def stream_view_sliding(spark, folder):
-    """The stream keeps one-minute panes; windows are put together from them."""
-    panes = _views(spark, folder, viewing.pane_seconds, "pane", "course_name")
-    return given.wall_clock(viewing.sliding_seconds(panes), "window_start", "window_end")
+    """The stream keeps one-minute panes as state; every trigger writes the windows that it changes."""
+    kept = _views(spark, folder, viewing.pane_seconds, partial(replay_into, viewing.sliding_seconds_view, mode="update"))
+    return given.wall_clock(kept.windows.read(), "window_start", "window_end")
 
 
 @registered(
@@ -101,8 +102,9 @@ def stream_view_sliding(spark, folder):
     """,
 )
 def stream_newest_window(spark, folder):
-    panes = _views(spark, folder, viewing.pane_seconds, "pane", "course_name")
-    return given.wall_clock(viewing.newest_seconds(panes), "window_start", "window_end")
+    """What the last trigger showed."""
+    kept = _views(spark, folder, viewing.pane_seconds, partial(replay_into, viewing.sliding_seconds_view, mode="update"))
+    return given.wall_clock(kept.newest.read(), "window_start", "window_end")
 
 
 @registered("stream_level_sliding", _sliding("2 minute", "10 second", 12, "level", "count(*) AS count"))
@@ -110,9 +112,39 @@ def stream_level_sliding(spark, folder):
     """Text lines ``level,time`` arriving as files."""
     rows = given.log(spark, folder)
     lines = rows.select("datetime", F.concat_ws(",", "level", F.col("datetime").cast("string")).alias("value"))
-    run = partial(replay, mode="update", keys=["pane", "level"])
-    panes = replay_in_slices(lines, "datetime", viewing.pane_levels, run, arrive=as_lines)
-    return given.wall_clock(viewing.sliding_levels(panes), "window_start", "window_end")
+    run = partial(replay_into, viewing.sliding_levels_view, mode="update")
+    kept = replay_in_slices(lines, "datetime", viewing.pane_levels, run, least=given.SPANS, form="text")
+    return given.wall_clock(kept.windows.read(), "window_start", "window_end")
+
+
+@registered(
+    "stream_level_totals",
+    """
+    SELECT event_type AS level, count(*) FILTER (event_id % 10 > 1) AS timed, count(*) FILTER (event_id % 10 <= 1) AS untimed,
+           count(*) AS count
+    FROM events GROUP BY 1
+    """,
+)
+def stream_level_totals(spark, folder):
+    """Lines of two layouts, short ones and ones without a time: the former in windows of their own time, the others in
+    windows of the time they arrived; together they are all lines."""
+    rows, kind = given.events(spark, folder), F.col("event_id") % 10
+    said = (
+        F.when(kind == 1, "no time").when(kind == 2, F.date_format(F.col("ts").cast("timestamp"), "EEE MMM dd HH:mm:ss 'GMT' yyyy"))
+        .when(kind > 2, F.col("ts").cast("string"))
+    )
+    lines = rows.select("ts", F.concat_ws(",", "event_type", said).alias("value"))
+    arriving = shared_folder(spark, "arriving")
+    feed = arrivals(spark, by_time(lines, "ts", 50_000_000, given.SPANS, form="text", timeless=True), arriving)
+    stream = viewing.pane_levels(streams.line_stream(spark, arriving))
+    timed = replay_into(viewing.sliding_levels_view, stream, "update", feed=feed).panes.read()
+    arrived = streams.line_stream(spark, arriving, files_per_trigger=8, arrived=True)
+    untimed = replay(viewing.untimed_levels(arrived, "arrived"), "update", ["pane", "level"])
+    removed_at_end(spark, arriving)
+    every = stacked(timed.select("level", F.col("count").alias("timed"), F.lit(0).alias("untimed")),
+                    untimed.select("level", F.lit(0).alias("timed"), F.col("count").alias("untimed")))
+    return every.groupBy("level").agg(
+        F.sum("timed").alias("timed"), F.sum("untimed").alias("untimed"), F.sum(F.col("timed") + F.col("untimed")).alias("count"))
 
 
 @registered(
@@ -154,8 +186,13 @@ def stream_late_drop(spark, folder):
 
 @registered("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, folder):
-    found = given.replayed(
-        spark, folder, ["user_id", "event_type"],
-        lambda rows: windows.first_of_each(rows, "ts", ["user_id", "event_type"], "60 days"), partial(replay, mode="append"),
+    """Over the whole stream, with rows without a time: pairs that came before are kept in a table, not in state."""
+
+    def seen(rows, into):
+        return DistinctRows(rows.sparkSession, into, rows.schema)
+
+    names = ["user_id", "event_type"]
+    kept = given.replayed(
+        spark, folder, names, lambda rows: rows.select(*names), partial(replay_into, seen, mode="append"), timeless=True,
     )
-    return found.drop("ts")
+    return kept.fresh.read()

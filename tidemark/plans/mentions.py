@@ -10,6 +10,7 @@ from tidemark.operators.rows import top
 from tidemark.operators.windows import tumbling
 from tidemark.operators.words import mentions
 from tidemark.sources.messages import POST_SCHEMA, json_columns
+from tidemark.streaming.views import Ranking
 
 
 def posts_of_messages(messages: DataFrame) -> DataFrame:
@@ -25,3 +26,9 @@ def mention_windows(posts: DataFrame, size: str = "5 minutes", late: str = "10 h
 def trending(counts: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` most frequent mentions of all windows."""
     return top(counts, k, "count", "mention", "window_start")
+
+
+def trending_view(counts: DataFrame, folder: str, k: int = 20) -> Ranking:
+    """What ranks a stream of ``mention_windows`` in update mode at every trigger."""
+    keys = ["window_start", "window_end", "mention"]
+    return Ranking(counts.sparkSession, folder, counts.schema, keys, k, "count", "mention", "window_start")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import windows
+from tidemark.streaming.views import SlidingView
 
 # Fixed value: seconds one view record stands for.
 SECONDS_PER_VIEW = 5
@@ -64,6 +65,11 @@ def pane_seconds(messages: DataFrame, slide: str = "1 minute", late: str = "2 mi
     )
 
 
+def sliding_seconds_view(panes: DataFrame, folder: str, size: str = "60 minutes", slide: str = "1 minute") -> SlidingView:
+    """What keeps the windows of a stream of ``pane_seconds`` up to date at every trigger, most watched first."""
+    return SlidingView(panes.sparkSession, folder, panes.schema, size, slide, ["course_name"], ["seconds"])
+
+
 def sliding_seconds(panes: DataFrame, size: str = "60 minutes", slide: str = "1 minute") -> DataFrame:
     """``window_start, window_end, course_name, seconds`` of every window."""
     return windows.windows_of_panes(panes, size, slide, "course_name", totals=["seconds"])
@@ -75,7 +81,7 @@ def newest_seconds(panes: DataFrame, size: str = "60 minutes", slide: str = "1 m
     return newest.orderBy(F.desc("seconds"), "course_name")
 
 
-def levels_of_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+def levels_of_lines(lines: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """``level, ts`` of lines ``level,time``, the time as a timestamp or as ``Tue Jan 02 10:11:12 GMT 2024``.
 
     The level stands in every line; one that is short or has another time gives a null time.
@@ -83,13 +89,27 @@ def levels_of_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     parts = F.split(F.col(column), ",")
     said = F.trim(F.get(parts, F.lit(1)))
     dated = F.try_to_timestamp(F.substr(said, F.lit(5)), F.lit("MMM d HH:mm:ss z yyyy"))
-    return lines.select(F.get(parts, F.lit(0)).alias("level"), F.coalesce(F.try_to_timestamp(said), dated).alias("ts"))
+    return lines.select(*keep, F.get(parts, F.lit(0)).alias("level"), F.coalesce(F.try_to_timestamp(said), dated).alias("ts"))
 
 
 def pane_levels(lines: DataFrame, slide: str = "10 seconds", late: str = "2 minutes") -> DataFrame:
     return windows.panes(levels_of_lines(lines), "ts", slide, "level", late=late, count=F.count(F.lit(1)))
 
 
+def sliding_levels_view(panes: DataFrame, folder: str, size: str = "2 minutes", slide: str = "10 seconds") -> SlidingView:
+    """What keeps the windows of a stream of ``pane_levels`` up to date at every trigger."""
+    return SlidingView(panes.sparkSession, folder, panes.schema, size, slide, ["level"], ["count"])
+
+
+def untimed_levels(lines: DataFrame, arrived: str, slide: str = "10 seconds", late: str = "2 minutes") -> DataFrame:
+    """The side output of ``pane_levels``: lines without a usable time, per pane of the time they arrived.
+
+    It is a stream of its own, since a watermark over arrivals would leave behind lines that are read long after their time.
+    """
+    untimed = levels_of_lines(lines, keep=(arrived,)).where("ts IS NULL")
+    return windows.panes(untimed, arrived, slide, "level", late=late, count=F.count(F.lit(1)))
+
+
 def sliding_levels(panes: DataFrame, size: str = "2 minutes", slide: str = "10 seconds") -> DataFrame:
     """``window_start, window_end, level, count`` of every window."""
     return windows.windows_of_panes(panes, size, slide, "level", totals=["count"])

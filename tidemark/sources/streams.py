@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Columns every broker record carries.
@@ -52,9 +53,10 @@ def table_stream(spark: SparkSession, path: str, schema: StructType | str | None
     return _file_stream(spark, files_per_trigger).schema(schema).parquet(f"{folder}/{{{name}}}")
 
 
-def line_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Text lines of files that arrive in a folder, column ``value``."""
-    return _file_stream(spark, files_per_trigger).text(path)
+def line_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None, arrived: bool = False) -> DataFrame:
+    """Text lines of files that arrive in a folder, column ``value``; with ``arrived`` also when their file came."""
+    lines = _file_stream(spark, files_per_trigger).text(path)
+    return lines.select("value", F.col("_metadata.file_modification_time").alias("arrived")) if arrived else lines
 
 
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:

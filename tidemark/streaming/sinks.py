@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.streaming.levels import Levels
+
 
 def every(interval: str) -> dict:
     """Trigger of a job that runs for good, e.g. ``every("5 minutes")``."""
@@ -16,7 +18,7 @@ def every(interval: str) -> dict:
 ALL_THERE_IS = {"availableNow": True}
 
 
-def _writer(stream: DataFrame, mode: str, checkpoint: str, trigger: dict | None):
+def writer(stream: DataFrame, mode: str, checkpoint: str, trigger: dict | None):
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger) if trigger else writer
 
@@ -25,26 +27,23 @@ def to_console(stream: DataFrame, mode: str, checkpoint: str, trigger: dict | No
                rows: int = 20, truncate: bool = False) -> StreamingQuery:
     """Print the first rows of each micro-batch."""
     return (
-        _writer(stream, mode, checkpoint, trigger)
+        writer(stream, mode, checkpoint, trigger)
         .format("console").option("numRows", rows).option("truncate", truncate).start()
     )
 
 
-def to_table(stream: DataFrame, mode: str, folder: str, checkpoint: str,
-             trigger: dict | None = None) -> StreamingQuery:
+def to_table(stream: DataFrame, mode: str, folder: str, checkpoint: str, trigger: dict | None = None,
+             keys: Sequence[str] = ()) -> StreamingQuery:
     """Keep results as parquet.
 
-    Append mode uses Spark's file sink. Update and complete mode write every micro-batch to a folder of its own,
-    replacing it when the micro-batch is repeated after a failure.
+    Append mode uses Spark's file sink. Update mode keeps the latest row per key in runs that are merged level by level,
+    complete mode the last micro-batch only (``levels.py``); either is repeated safely after a failure.
     """
-    writer = _writer(stream, mode, checkpoint, trigger)
+    out = writer(stream, mode, checkpoint, trigger)
     if mode == "append":
-        return writer.format("parquet").option("path", folder).start()
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
-
-    return writer.foreachBatch(write).start()
+        return out.format("parquet").option("path", folder).start()
+    table = Levels(stream.sparkSession, folder, stream.schema, keys)
+    return out.foreachBatch(table.add if mode == "update" else table.replace).start()
 
 
 def to_branches(stream: DataFrame, mode: str, branches: Mapping[str, Column], folder: str, checkpoint: str,
@@ -62,4 +61,4 @@ def to_branches(stream: DataFrame, mode: str, branches: Mapping[str, Column], fo
         finally:
             batch.unpersist()
 
-    return _writer(stream, mode, checkpoint, trigger).foreachBatch(write).start()
+    return writer(stream, mode, checkpoint, trigger).foreachBatch(write).start()

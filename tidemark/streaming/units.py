@@ -1,11 +1,14 @@
-"""Grouping of keyed events into units on a stream: state per key, event-time timers.
+"""Grouping of keyed events into units on a stream: state per key, event-time timers, independent of arrival order.
 
-Only what the rules need is kept per key: size, first and last time of the open unit, or (for ``exact_members``)
-the members of the open unit, at most ``size - 1`` of them. A micro-batch hands all new rows of a key to one
-call, so bound its size at the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+Rows of a key wait until the watermark has passed them and are then taken in order of time, so the same events give the
+same units however they arrive within the lateness and wherever micro-batches are cut. What waits lies in a map state of
+small sorted chunks keyed by their first time: a trigger writes its rows once and reads only chunks the watermark reaches.
+Beyond that, only what the rules need is kept per key: size, first and last time of the open unit, or (for
+``exact_members``) the members of the open unit, at most ``size - 1`` of them. A micro-batch hands all new rows of a key
+to one call, so bound its size at the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
 
-Rows of a key are handled before its timers, hence each row's time is compared with the open unit's end here and
-timers serve keys that fall silent.
+A unit is written once the watermark has passed its last event, or the time at which it ends without one. Events after
+the last watermark are still open when a stream stops.
 """
 
 from __future__ import annotations
@@ -23,9 +26,8 @@ from tidemark.functions.times import from_micros, to_micros
 from tidemark.operators.unit_rules import UnitRule, walk
 from tidemark.operators.units import micros, status
 
-
-def _sorted_times(rows: Iterator[pd.DataFrame]) -> np.ndarray:
-    return np.sort(np.concatenate([some["us"].to_numpy() for some in rows]))
+#: Rows of a key in one entry of the map state.
+CHUNK = 1024
 
 
 def _milliseconds(us: int) -> int:
@@ -33,24 +35,123 @@ def _milliseconds(us: int) -> int:
     return -(-us // 1000)
 
 
-class _Timed(StatefulProcessor):
+def _sooner(a: int | None, b: int | None) -> int | None:
+    return b if a is None else a if b is None else min(a, b)
+
+
+class Waiting:
+    """Rows of a key that the watermark has not passed yet, as sorted chunks keyed by their first time."""
+
+    def __init__(self, handle: StatefulProcessorHandle, columns: dict[str, str]):
+        self.columns, self.order = columns, [name for name in ("us", "seq") if name in columns]
+        arrays = ", ".join(f"`{name}` array<{kind}>" for name, kind in columns.items())
+        self.chunks = handle.getMapState("waiting", "first_us bigint, number bigint", arrays)
+
+    def sorted(self, rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.iloc[np.lexsort([rows[name].to_numpy() for name in reversed(self.order)])]
+
+    def add(self, rows: pd.DataFrame) -> None:
+        for start in range(0, len(rows), CHUNK):
+            chunk = rows.iloc[start : start + CHUNK]
+            at = (int(chunk["us"].iloc[0]), 0)
+            while self.chunks.containsKey(at):
+                at = (at[0], at[1] + 1)
+            self.chunks.updateValue(at, tuple(_values(chunk[name], kind) for name, kind in self.columns.items()))
+
+    def take(self, passed_us: int) -> tuple[pd.DataFrame, int | None]:
+        """Rows up to a time, which no longer wait, and the first time that still does."""
+        keys = [tuple(key) for key in self.chunks.keys()]
+        due = [key for key in keys if key[0] <= passed_us]
+        rows = []
+        for key in due:
+            rows.append(pd.DataFrame(dict(zip(self.columns, self.chunks.getValue(key)))))
+            self.chunks.removeKey(key)
+        taken = self.sorted(pd.concat(rows))
+        cut = int(np.searchsorted(taken["us"].to_numpy(), passed_us, "right"))
+        self.add(taken.iloc[cut:])
+        first = min((key[0] for key in keys if key[0] > passed_us), default=None)
+        return taken.iloc[:cut], _sooner(first, int(taken["us"].iloc[cut]) if cut < len(taken) else None)
+
+
+def _values(column: pd.Series, kind: str) -> list:
+    """Values as the state takes them; pandas turns whole numbers into floats where some are missing."""
+    if not column.hasnans:
+        return column.tolist()
+    exact = int if kind.endswith("int") else lambda x: x
+    return [None if missing else exact(x) for x, missing in zip(column.tolist(), column.isna())]
+
+
+class _Ordered(StatefulProcessor):
+    """Rows of a key in order of time, each once the watermark has passed it; one timer per key.
+
+    A subclass takes the rows that are due (``walk``) and says when it has to be woken without any.
+    """
+
+    columns: dict[str, str] = {"us": "bigint"}
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self.handle, self.waiting = handle, Waiting(handle, self.columns)
+        self.clock = handle.getValueState("clock", "first_us bigint, wake_ms bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat([some[list(self.columns)] for some in rows])
+        return self._turn(key, self.waiting.sorted(self.wanted(new)), timerValues, False)
 
-    def _move_timer(self, old_us: int | None, new_us: int | None) -> None:
-        """Replace a key's timer. Every call to the state store costs a round trip, so equal times are left alone."""
-        old, new = (None if us is None else _milliseconds(us) for us in (old_us, new_us))
-        if old != new:
-            if old is not None:
-                self.handle.deleteTimer(old)
-            if new is not None:
-                self.handle.registerTimer(new)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        return self._turn(key, None, timerValues, True)
+
+    def wanted(self, rows: pd.DataFrame) -> pd.DataFrame:
+        return rows
+
+    def _turn(self, key, new: pd.DataFrame | None, timer_values, fired: bool) -> Iterator[pd.DataFrame]:
+        passed_us = timer_values.getCurrentWatermarkInMs() * 1000
+        before = self.clock.get() or (None, None)
+        first_us, wake_ms = before
+        due = []
+        if first_us is not None and first_us <= passed_us:
+            taken, first_us = self.waiting.take(passed_us)
+            due.append(taken)
+        if new is not None:
+            cut = int(np.searchsorted(new["us"].to_numpy(), passed_us, "right"))
+            if cut:
+                due.append(new.iloc[:cut])
+            if cut < len(new):
+                self.waiting.add(new.iloc[cut:])
+                first_us = _sooner(first_us, int(new["us"].iloc[cut]))
+        rows = None if not due else due[0] if len(due) == 1 else self.waiting.sorted(pd.concat(due))
+        found, ends_us = self.walk(key, rows, passed_us)
+        at = _sooner(first_us, ends_us)
+        self._set(before, first_us, None if at is None else _milliseconds(at), None if fired else wake_ms)
+        yield from found
+
+    def _set(self, before: tuple, first_us: int | None, wake_ms: int | None, timer_ms: int | None) -> None:
+        """Every call to the state store costs a round trip, so what stays the same is left alone."""
+        if timer_ms != wake_ms:
+            if timer_ms is not None:
+                self.handle.deleteTimer(timer_ms)
+            if wake_ms is not None:
+                self.handle.registerTimer(wake_ms)
+        if (first_us, wake_ms) != tuple(before):
+            if wake_ms is None:
+                self.clock.clear()
+            else:
+                self.clock.update((first_us, wake_ms))
+
+    def walk(self, key, rows: pd.DataFrame | None, passed_us: int) -> tuple[list[pd.DataFrame], int | None]:
+        raise NotImplementedError
 
     def close(self) -> None:
         pass
 
 
-class UnitProcessor(_Timed):
+def _units_frame(key, units: list[tuple[int, int, int]]) -> list[pd.DataFrame]:
+    if not units:
+        return []
+    n, first, last = zip(*units)
+    return [pd.DataFrame({"key": [key[0]] * len(units), "n": n, "first_us": first, "last_us": last})]
+
+
+class UnitProcessor(_Ordered):
     """Units that restart after they end, by idle time or by deadline."""
 
     def __init__(self, rule: UnitRule):
@@ -60,57 +161,44 @@ class UnitProcessor(_Timed):
         super().init(handle)
         self.open_unit = handle.getValueState("open_unit", "n bigint, first_us bigint, last_us bigint")
 
-    def _ends_at(self, held: tuple[int, int, int] | None) -> int | None:
-        if held is None:
-            return None
+    def _ends_at(self, held: tuple[int, int, int]) -> int:
         _, first_us, last_us = held
-        if self.rule.idle is not None:
-            return last_us + self.rule.idle
-        return None if self.rule.deadline is None else first_us + self.rule.deadline
-
-    @staticmethod
-    def _frame(key, units: list[tuple[int, int, int]]) -> pd.DataFrame:
-        n, first, last = zip(*units)
-        return pd.DataFrame({"key": [key[0]] * len(units), "n": n, "first_us": first, "last_us": last})
+        return last_us + self.rule.idle if self.rule.idle is not None else first_us + self.rule.deadline
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        us = _sorted_times(rows)
+    def walk(self, key, rows, passed_us):
         done: list[tuple[int, int, int]] = []
-        start, held = 0, self.open_unit.get()
-        before = held
-        if held is not None:
-            n, first_us, last_us = held
-            start = self.rule.continues(us, n, first_us, last_us)
-            held = (n + start, first_us, int(us[start - 1]) if start else last_us)
-            if start < len(us) or held[0] == self.rule.size:
-                done.append(held)
-                held = None
-        rest = us[start:]
-        if len(rest):
-            ends = self.rule.ends(rest)
-            opened = walk(ends, 0)
-            found = [(int(e - s), int(rest[s]), int(rest[e - 1])) for s, e in zip(opened, ends[opened])]
-            held = None if found[-1][0] == self.rule.size else found.pop()
-            done += found
-        if held is not None:
+        held = before = self.open_unit.get()
+        if rows is not None:
+            us, start = rows["us"].to_numpy(), 0
+            if held is not None:
+                n, first_us, last_us = held
+                start = self.rule.continues(us, n, first_us, last_us)
+                held = (n + start, first_us, int(us[start - 1]) if start else last_us)
+                if start < len(us) or held[0] == self.rule.size:
+                    done.append(held)
+                    held = None
+            rest = us[start:]
+            if len(rest):
+                ends = self.rule.ends(rest)
+                opened = walk(ends, 0)
+                found = [(int(e - s), int(rest[s]), int(rest[e - 1])) for s, e in zip(opened, ends[opened])]
+                held = None if found[-1][0] == self.rule.size else found.pop()
+                done += found
+        if held is not None and self._ends_at(held) <= passed_us:
+            done.append(tuple(held))
+            held = None
+        if held is not None and held != before:
             self.open_unit.update(held)
-        elif before is not None:
+        elif held is None and before is not None:
             self.open_unit.clear()
-        self._move_timer(self._ends_at(before), self._ends_at(held))
-        if done:
-            yield self._frame(key, done)
+        return _units_frame(key, done), None if held is None else self._ends_at(held)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = self.open_unit.get()
-        if held is not None:
-            self.open_unit.clear()
-            yield self._frame(key, [tuple(held)])
 
-
-class OnceProcessor(_Timed):
+class OnceProcessor(_Ordered):
     """Only the first unit of a key counts: a key that completed or ran out of time is ignored afterwards.
 
-    A finished key leaves a mark behind. ``forget_us`` after its deadline the mark is dropped; ``None`` keeps it.
+    A finished key leaves a mark behind, which covers events up to ``forget_us`` after its deadline and is dropped then;
+    ``None`` keeps it.
     """
 
     def __init__(self, size: int, deadline_us: int, forget_us: int | None):
@@ -120,78 +208,81 @@ class OnceProcessor(_Timed):
         super().init(handle)
         self.seen = handle.getValueState("seen", "n bigint, first_us bigint, finished boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, first_us, finished = self.seen.get() or (0, None, False)
-        us = _sorted_times(rows)
-        if finished:
-            return
-        old_timer = None if first_us is None else first_us + self.deadline_us
-        if first_us is None:
-            first_us = int(us[0])
-        taken = us[us < first_us + self.deadline_us][: self.size - n]
-        n += len(taken)
-        finished = n == self.size or len(taken) < len(us)
-        self.seen.update((n, first_us, finished))
-        self._move_timer(old_timer, self._forget_at(first_us) if finished else first_us + self.deadline_us)
-        if n == self.size:
-            yield pd.DataFrame({"key": [key[0]], "n": [n], "first_us": [first_us], "last_us": [int(taken[-1])]})
-
     def _forget_at(self, first_us: int) -> int | None:
         return None if self.forget_us is None else first_us + self.deadline_us + self.forget_us
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        n, first_us, finished = self.seen.get()
-        if finished:
+    def wanted(self, rows):
+        """Events that the mark of a finished key covers need not wait."""
+        _, first_us, finished = self.seen.get() or (0, None, False)
+        if not finished:
+            return rows
+        until = self._forget_at(first_us)
+        return rows.iloc[:0] if until is None else rows[rows["us"] > until]
+
+    def walk(self, key, rows, passed_us):
+        before = self.seen.get()
+        n, first_us, finished = before or (0, None, False)
+        us = np.empty(0, dtype=np.int64) if rows is None else rows["us"].to_numpy()
+        found = []
+        while True:
+            if finished:
+                until = self._forget_at(first_us)
+                us = us[:0] if until is None else us[us > until]
+                if until is None or (not len(us) and until > passed_us):
+                    break
+                n, first_us, finished = 0, None, False
+            if first_us is None:
+                if not len(us):
+                    break
+                first_us = int(us[0])
+            taken = us[us < first_us + self.deadline_us][: self.size - n]
+            n, us = n + len(taken), us[len(taken) :]
+            if n == self.size and len(taken):
+                found.append((n, first_us, int(taken[-1])))
+            finished = n == self.size or len(us) > 0 or first_us + self.deadline_us <= passed_us
+            if not finished:
+                break
+        if first_us is None and before is not None:
             self.seen.clear()
-        else:
-            self.seen.update((n, first_us, True))
-            self._move_timer(None, self._forget_at(first_us))
-        return iter(())
+        elif first_us is not None and (n, first_us, finished) != before:
+            self.seen.update((n, first_us, finished))
+        ends_us = None if first_us is None else self._forget_at(first_us) if finished else first_us + self.deadline_us
+        return _units_frame(key, found), ends_us
 
 
-class MemberProcessor(_Timed):
+class MemberProcessor(_Ordered):
     """Members of units of exactly ``size`` events; an unfinished unit is given up after ``idle`` without events."""
 
     def __init__(self, rule: UnitRule, payload: dict[str, str]):
         self.rule, self.payload = rule, payload
+        self.columns = {"us": "bigint", "seq": "bigint", **payload}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        columns = ", ".join(f"`{name}` {kind}" for name, kind in self.payload.items())
-        self.members = handle.getListState("members", f"us bigint, seq bigint, {columns}")
-
-    def _given_up_at(self, last_us: int) -> int:
-        return last_us + self.rule.idle
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        names = ["us", "seq", *self.payload]
-        parts = [some[names] for some in rows]
-        new = parts[0] if len(parts) == 1 else pd.concat(parts)
-        new = new.iloc[np.lexsort((new["seq"].to_numpy(), new["us"].to_numpy()))]
-        kept = list(self.members.get())
-        # The open unit came before the new rows, so it stays in front of them.
-        every = pd.concat([pd.DataFrame(kept, columns=names), new]) if kept else new
-        ends = self.rule.ends(every["us"].to_numpy())
-        opened = walk(ends, 0)
-        full = [(s, e) for s, e in zip(opened, ends[opened]) if e - s == self.rule.size]
-        last = opened[-1] if ends[opened[-1]] - opened[-1] < self.rule.size else len(every)
-        rest = every[last:]
-        if len(rest):
-            self.members.put(list(rest.itertuples(index=False, name=None)))
-        elif kept:
+        self.members = handle.getListState("members", ", ".join(f"`{name}` {kind}" for name, kind in self.columns.items()))
+
+    def walk(self, key, rows, passed_us):
+        names, found = list(self.columns), []
+        kept = rest = list(self.members.get())
+        if rows is not None:
+            # The open unit came before the rows that are due, so it stays in front of them.
+            every = pd.concat([pd.DataFrame(kept, columns=names), rows]) if kept else rows
+            ends = self.rule.ends(every["us"].to_numpy())
+            opened = walk(ends, 0)
+            full = [np.arange(s, e) for s, e in zip(opened, ends[opened]) if e - s == self.rule.size]
+            last = opened[-1] if ends[opened[-1]] - opened[-1] < self.rule.size else len(every)
+            rest = list(zip(*(_values(every[name].iloc[last:], kind) for name, kind in self.columns.items())))
+            if full:
+                members = every[list(self.payload)].take(np.concatenate(full))
+                members.insert(0, "key", key[0])
+                found.append(members)
+        if rest and rest[-1][0] + self.rule.idle <= passed_us:
+            rest = []
+        if rest and (rows is not None):
+            self.members.put(rest)
+        elif kept and not rest:
             self.members.clear()
-        self._move_timer(
-            self._given_up_at(kept[-1][0]) if kept else None,
-            self._given_up_at(int(rest["us"].iloc[-1])) if len(rest) else None,
-        )
-        if full:
-            found = every[list(self.payload)].take(np.concatenate([np.arange(s, e) for s, e in full]))
-            found.insert(0, "key", key[0])
-            yield found
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.members.clear()
-        return iter(())
+        return found, rest[-1][0] + self.rule.idle if rest else None
 
 
 def _grouped(events: DataFrame, key: str, ts: str, late: str, *payload):
