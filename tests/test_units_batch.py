@@ -2,6 +2,7 @@ import random
 from datetime import timedelta
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -124,18 +125,67 @@ def test_pages_follow_time_where_ids_fall(spark):
     assert [p["values"] for p in pages] == [[0, 1, 2], [3, 4, 5]]
 
 
+def in_a_tree(runs, rule, fan_in, width=None):
+    """Upwards and downwards as the tasks do it, on the runs of one key."""
+    if width is None:
+        width = int(runs["part"].max()) + 1
+    if width <= fan_in:
+        return U._passed(runs, rule)
+    groups = list(runs.groupby(runs["part"] // fan_in))
+    above = pd.DataFrame([{"key": some["key"].iloc[0], "part": group, **U._composed(some, rule)} for group, some in groups])
+    entered = in_a_tree(above, rule, fan_in, -(-width // fan_in)).set_index("part")
+    assert all(len(some) <= fan_in for _, some in groups)
+    return pd.concat([
+        U._passed(some, rule, {name: None if pd.isna(x) else int(x) for name, x in entered.loc[group].items() if name != "key"})
+        for group, some in groups
+    ])
+
+
+@pytest.mark.parametrize("limits", [{}, {"idle": 12}, {"deadline": 40}])
+def test_a_key_over_two_thousand_partitions(limits):
+    rng, rule = random.Random(3), UnitRule(10, **limits)
+    us = sorted(rng.randrange(40_000) for _ in range(9_000))
+    table = pa.table({"key": pa.array([5] * 9_000, pa.int64()), "us": pa.array(us, pa.int64())})
+    bounds = sorted(rng.randrange(9_000) for _ in range(1_999))
+    pieces = [table.slice(a, b - a) for a, b in zip([0, *bounds], [*bounds, 9_000])]
+    pieces = [p.append_column("part", pa.array([i] * len(p), pa.int32())) for i, p in enumerate(pieces)]
+    runs = pd.concat([b.to_pandas() for p in pieces for b in U._describe(p.to_batches(), rule)])
+    names = ["skip", "head_n", "opened", "tail_n", "tail_us"]
+    entered = in_a_tree(runs, rule, 8).set_index("part")[names]
+    found = set()
+    for part, piece in enumerate(pieces):
+        if len(piece):
+            for name in names:
+                value = entered.loc[part, name]
+                piece = piece.append_column(name, pa.array([None if pd.isna(value) else int(value)] * len(piece), pa.int64()))
+            found |= {tuple(r.values()) for out in U._emit(piece.to_batches(), rule, False, []) for r in out.to_pylist()}
+    assert found == simulated([(5, t, i) for i, t in enumerate(us)], 10, **limits)
+
+
+@pytest.mark.parametrize("limit", [{}, {"idle": 4}, {"deadline": 60}])
+def test_units_by_a_tree_of_runs(spark, limit, monkeypatch):
+    """40 partitions composed three at a time: four levels."""
+    monkeypatch.setattr(U, "FAN_IN", 3)
+    events = skewed_events(77, 600, 12, 900) + [(None, i * SECOND, 1000 + i) for i in range(90)]
+    found = U.units(frame(spark, events), "key", "ts", "id", 4, partitions=40, **{n: timedelta(seconds=s) for n, s in limit.items()})
+    assert as_set(found) == simulated_with_null(events, 4, {n: s * SECOND for n, s in limit.items()})
+
+
+def simulated_with_null(events, size, limit):
+    return {(None if key == -1 else key, *rest) for key, *rest in simulated([(-1 if k is None else k, us, i) for k, us, i in events], size, **limit)}
+
+
 @settings(max_examples=150, deadline=None)
 @given(
     st.lists(st.tuples(st.integers(0, 3), st.integers(0, 30)), min_size=1, max_size=60),
     st.integers(1, 6),
     st.sampled_from([{}, {"idle": 3}, {"idle": 1}, {"deadline": 4}, {"deadline": 9}]),
-    st.integers(1, 9),
+    st.integers(1, 30),
     st.integers(1, 7),
+    st.integers(2, 40),
 )
-def test_any_cut_into_partitions_and_batches_gives_the_same_units(pairs, size, limits, partitions, batch_rows):
-    """The three steps run here on plain Arrow batches, cut at every kind of place."""
-    import pandas as pd
-
+def test_any_cut_into_partitions_and_batches_gives_the_same_units(pairs, size, limits, partitions, batch_rows, fan_in):
+    """The steps run here on plain Arrow batches, cut at every kind of place."""
     rule = UnitRule(size, **limits)
     events = sorted((key, us, i) for i, (key, us) in enumerate(pairs))
     cuts = np.array_split(np.arange(len(events)), partitions)
@@ -157,7 +207,7 @@ def test_any_cut_into_partitions_and_batches_gives_the_same_units(pairs, size, l
     runs = pd.concat(described)
     entering = {}
     for _, one in runs.groupby("key"):
-        for row in U._chain(one, rule).to_dict("records"):
+        for row in in_a_tree(one, rule, fan_in).to_dict("records"):
             entering[(row["part"], row["key"])] = {k: None if v is pd.NA else v for k, v in row.items()}
     found = set()
     for part in range(partitions):

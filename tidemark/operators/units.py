@@ -7,7 +7,8 @@ To walk a key of any size in parallel:
    the layout is checkpointed, because the next two steps must see the same cuts;
 2. every partition describes its first and its last key in one row each: how many rows, and for each of
    the ``size`` offsets at which a first new unit could open, which unit would be open at the end;
-3. those few rows (two per partition) are chained per key, which tells every partition what enters it;
+3. those few rows (two per partition) are composed in a tree of fixed fan-in, upwards and back down, which tells every
+   partition what enters it, however many partitions a key is cut over;
 4. every partition walks its rows once more and writes its units.
 
 Steps 2 and 4 are ``mapInArrow`` over sorted partitions: memory is one Arrow batch plus one open unit.
@@ -32,7 +33,9 @@ from tidemark.operators.unit_rules import UnitRule, walk
 from tidemark.session import checkpoint_root
 
 RESERVED = ("key", "us", "seq", "part", "skip", "head_n", "opened", "tail_n", "tail_us", "unit_no", "n")
-_ENTERING = "skip bigint, head_n bigint, opened bigint, tail_n bigint, tail_us bigint"
+_RUN = "rows bigint, last_us bigint, prefix array<bigint>, exit_us array<bigint>, exit_n array<bigint>, exit_opened array<bigint>"
+#: Runs of a key that a task composes at a time.
+FAN_IN = 64
 
 
 def _micros(column: pa.Array) -> np.ndarray:
@@ -132,42 +135,114 @@ def _describe(batches: Iterator[pa.RecordBatch], rule: UnitRule) -> Iterator[pa.
         )
 
 
-def _chain(runs: pd.DataFrame, rule: UnitRule) -> pd.DataFrame:
-    """What enters each partition of one key, from the partitions before it. One row per partition."""
-    columns = ["key", "part", "skip", "head_n", "opened", "tail_n", "tail_us"]
-    if len(runs) < 2:
-        return pd.DataFrame(columns=columns)
+def _composed(runs: pd.DataFrame, rule: UnitRule) -> dict:
+    """Neighbouring runs of a key as one: what ``_describe`` would have said of all their rows together."""
+    whole = None
+    for run in runs.sort_values("part").itertuples():
+        lists = [np.asarray(x, dtype=np.int64) for x in (run.prefix, run.exit_us, run.exit_n, run.exit_opened)]
+        next_run = (int(run.rows), int(run.last_us), *lists)
+        whole = next_run if whole is None else _followed(whole, next_run, rule)
+    rows, last_us, prefix, exit_us, exit_n, opened = whole
+    return {"rows": rows, "last_us": last_us, "prefix": prefix, "exit_us": exit_us, "exit_n": exit_n, "exit_opened": opened}
+
+
+def _followed(first: tuple, then: tuple, rule: UnitRule) -> tuple:
+    """Two runs in a row. An exit says which unit is open at the end if the first new one opens at that row."""
+    rows, last_us, prefix, exit_us, exit_n, opened = first
+    more, end_us, next_prefix, next_us, next_n, next_opened = then
+    exits = []
+    for us, n, no in zip(exit_us.tolist(), exit_n.tolist(), opened.tolist()):
+        taken = rule.continues(next_prefix, n, us, last_us)
+        if not len(next_us):  # the key ends there, no run follows
+            break
+        if taken == more:
+            exits.append((us, n + taken, no))
+        else:
+            exits.append((int(next_us[taken]), int(next_n[taken]), no + int(next_opened[taken])))
+    if len(exit_us) == rows < rule.size:  # offsets beyond the first run
+        exits += list(zip(next_us.tolist(), next_n.tolist(), next_opened.tolist()))[: rule.size - rows]
+    if len(prefix) < rule.size:
+        prefix = np.concatenate([prefix, next_prefix])[: rule.size]
+    found = [np.array(column, dtype=np.int64) for column in zip(*exits)] or [np.empty(0, dtype=np.int64)] * 3
+    return rows + more, end_us, prefix, *found
+
+
+_STATE = "held bigint, first_us bigint, before_us bigint, opened bigint, skip bigint, head_n bigint, tail_n bigint, tail_us bigint"
+
+
+def _passed(runs: pd.DataFrame, rule: UnitRule, entering: dict | None = None) -> pd.DataFrame:
+    """Neighbouring runs of a key from left to right: what enters each, and how the units end that are open at its ends.
+
+    ``entering`` is the same for the run that they make up together; without it they are the whole key.
+    """
     runs = runs.sort_values("part").reset_index(drop=True)
-    out = {name: [None] * len(runs) for name in columns[2:]}
-    held = first_us = last_us = opened = 0
-    waiting: list[tuple[int, str]] = []  # partitions that show the open unit, and where
+    names = [part.split()[0] for part in _STATE.split(", ")]
+    out = {name: [None] * len(runs) for name in names}
+    held, first_us, last_us, opened = (0, 0, 0, 0) if entering is None else (entering[n] for n in names[:4])
+    waiting: list[tuple[int, str]] = []  # runs that show the open unit, and at which end
 
-    def close() -> None:
+    def close(n: int, us: int) -> None:
         for place, side in waiting:
-            out[f"{side}_n"][place] = held
+            out[f"{side}_n"][place] = n
             if side == "tail":
-                out["tail_us"][place] = last_us
+                out["tail_us"][place] = us
         waiting.clear()
 
     for place, run in enumerate(runs.itertuples()):
+        out["held"][place], out["first_us"][place], out["before_us"][place], out["opened"][place] = held, first_us, last_us, opened
         prefix = np.asarray(run.prefix, dtype=np.int64)
         skip = rule.continues(prefix, held, first_us, last_us) if held else 0
-        out["skip"][place], out["opened"][place] = skip, opened
+        out["skip"][place] = skip
         if skip:
             held += skip
-            last_us = run.last_us if skip == run.rows else int(prefix[skip - 1])
+            last_us = int(run.last_us) if skip == run.rows else int(prefix[skip - 1])
             waiting.append((place, "head"))
         if skip == run.rows:
+            waiting.append((place, "tail"))
             continue
-        close()
+        close(held, last_us)
         held = 0
         if len(run.exit_us):
-            first_us, held, last_us = int(run.exit_us[skip]), int(run.exit_n[skip]), run.last_us
+            first_us, held, last_us = int(run.exit_us[skip]), int(run.exit_n[skip]), int(run.last_us)
             opened += int(run.exit_opened[skip])
             waiting.append((place, "tail"))
-    close()
-    chained = pd.DataFrame({name: pd.array(values, dtype="Int64") for name, values in out.items()})
-    return chained.assign(key=runs["key"], part=runs["part"])[columns]
+    if entering is None or entering["tail_n"] is None:
+        close(held, last_us)
+    else:
+        close(entering["tail_n"], entering["tail_us"])
+    found = pd.DataFrame({name: pd.array(values, dtype="Int64") for name, values in out.items()})
+    return found.assign(key=runs["key"], part=runs["part"])[["key", "part", *names]]
+
+
+def _entering(runs: DataFrame, rule: UnitRule, partitions: int, fan_in: int) -> DataFrame:
+    """What enters each run of each key, found in a tree: no task sees more than ``fan_in`` runs of a key at a time.
+
+    Upwards, neighbouring runs are composed; downwards, what enters a composed run is passed on through its parts.
+    """
+    kind = runs.schema["key"].dataType.simpleString()
+    described, passed = f"key {kind}, part int, {_RUN}", f"key {kind}, part int, {_STATE}"
+    group = F.floor(F.col("part") / fan_in).cast("int")
+    levels, width = [runs], partitions
+    while width > fan_in:
+        if len(levels) == 1:
+            levels = [runs.checkpoint()]  # read on the way up and on the way down
+
+        def up(key: tuple, some: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame([{"key": key[0], "part": key[1], **_composed(some, rule)}])
+
+        levels.append(levels[-1].groupBy("key", group.alias("group")).applyInPandas(up, described))
+        width = -(-width // fan_in)
+    found = levels.pop().groupBy("key").applyInPandas(lambda some: _passed(some, rule), passed)
+
+    def down(some: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+        one = above.iloc[0]
+        return _passed(some, rule, {name: None if pd.isna(one[name]) else int(one[name]) for name in above.columns[2:]})
+
+    for lower in reversed(levels):
+        found = lower.withColumn("group", group).groupBy("key", "group").cogroup(
+            found.withColumnRenamed("part", "group").groupBy("key", "group")
+        ).applyInPandas(lambda some, above: down(some.drop(columns="group"), above), passed)
+    return found
 
 
 def _emit(batches: Iterator[pa.RecordBatch], rule: UnitRule, members: bool,
@@ -268,14 +343,12 @@ def _walked(events: DataFrame, key: str, ts: str, order: str, rule: UnitRule, me
     key_type = laid_out.schema["key"].dataType.simpleString()
     runs = laid_out.select("key", "us", "part").mapInArrow(
         lambda batches: _describe(batches, rule),
-        f"key {key_type}, part int, rows bigint, last_us bigint, prefix array<bigint>, "
-        "exit_us array<bigint>, exit_n array<bigint>, exit_opened array<bigint>",
-    )
-    entering = runs.groupBy("key").applyInPandas(
-        lambda one: _chain(one, rule), f"key {key_type}, part int, {_ENTERING}"
+        f"key {key_type}, part int, {_RUN}",
     )
-    # Two rows per partition at most: the number of partitions bounds what is broadcast here.
-    entering = F.broadcast(entering.withColumnsRenamed({"key": "of_key", "part": "of_part"}))
+    entering = _entering(runs, rule, laid_out.rdd.getNumPartitions(), FAN_IN)
+    # Two rows per partition at most, a key and five numbers each: the number of partitions bounds what is broadcast here.
+    entering = F.broadcast(
+        entering.select(F.col("key").alias("of_key"), F.col("part").alias("of_part"), "skip", "head_n", "opened", "tail_n", "tail_us"))
     rows = laid_out.join(
         entering, (F.col("part") == F.col("of_part")) & F.col("key").eqNullSafe(F.col("of_key")), "left"
     ).drop("of_key", "of_part", "part", "seq")
