@@ -20,12 +20,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: texts that share 0.8 or more of their shingles of five words.
-
-    Such texts differ in about ten of 64 bits on average, so fingerprints up to twelve bits apart are candidates, met by
-    five orders of the bits, and each link is held against the texts; see README for the share of pairs this catches.
-    """
-    return simhash.first_of_each(docs, shingle=5, threshold=12, blocks=3, tables=5, reach=5, similarity=0.8)
+    """One document of each group of near-duplicates: fingerprints of shingles of four words that chains of links of at
+    most four differing bits connect. The first document in the table stays."""
+    return simhash.first_of_each(docs, shingle=4, threshold=4)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
