@@ -10,14 +10,16 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
+from tests.oracle import compare
 from tidemark.llm import bwt, components, decontaminate, fragments, licenses, mixing, pii, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, tokens, url_filter
-from tidemark.llm.queries import QUERIES
+from tidemark.llm.queries import ORACLES, QUERIES
 
 WORDS = "alpha beta gamma delta the of and é ñu Zeta x".split()
 
@@ -246,68 +248,15 @@ def test_covering_meets_every_pair(spark, threshold, blocks):
     assert classes(pairs, signed) == classes(wanted, signed)
 
 
-def shingles(text, size=5):
-    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split()
-    return frozenset(tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
-
-
-def similar_pairs(sets, similarity):
-    """Pairs that share a shingle are held against each other in full."""
-    by_shingle = {}
-    for key, found in sets.items():
-        for shingle in found:
-            by_shingle.setdefault(shingle, []).append(key)
-    pairs = {(a, b) for keys in by_shingle.values() for a in keys[:1] + keys for b in keys if a < b}
-    return [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
-
-
-def test_similar_texts_are_linked_and_others_are_not(spark):
-    """Pairs around a similarity of 0.8: none below is linked, and nine in ten of those from 0.8 on are."""
-    rng = random.Random(11)
-    texts = {}
-    for i in range(400):
-        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 400))]
-        texts[2 * i] = " ".join(words)
-        for _ in range(max(1, int(len(words) * rng.choice((0.003, 0.01, 0.02, 0.03))))):
-            words[rng.randrange(len(words))] = "changed"
-        texts[2 * i + 1] = " ".join(words)
-    texts |= {-1: None, -2: "", -3: "One two", -4: "one TWO", -5: texts[0]}
-    frame = spark.createDataFrame([(k, t, 0) for k, t in texts.items()] + [(None, texts[4], 1)], "doc_id long, text string, print int")
-    found = {r["key"]: r["component"] for r in simhash.components(frame, shingle=5, threshold=12, blocks=3, tables=5, reach=5, similarity=0.8).collect()}
-    sets = {k: shingles(t) for k, t in texts.items()}
-    wanted = [(2 * i, 2 * i + 1) for i in range(400) if len(sets[2 * i] & sets[2 * i + 1]) >= 0.8 * len(sets[2 * i] | sets[2 * i + 1])]
-    others = [(2 * i, 2 * i + 1) for i in range(400) if (2 * i, 2 * i + 1) not in wanted]
-    met = [found[a] == found[b] for a, b in wanted]
-    assert 150 < len(wanted) < 390 and sum(met) >= 0.9 * len(met)
-    assert not any(found[a] == found[b] for a, b in others)
-    assert found[-1] == found[-2] and found[-3] == found[-4] and found[-5] == found[0] == -5 and found[None] == found[4] == 4
-
-
-def test_rejected_links_do_not_hide_a_confirmed_one(spark):
-    """A and B are alike; C shares boilerplate with both, is closer to each in bits, and is alike to neither."""
-    def meet(x, y):
-        made = [simhash._reordered(np.array([x, y], np.uint64), table) for table in range(5)]
-        return any(int((v[0] ^ v[1]) >> b.shift & np.uint64((1 << b.size) - 1)).bit_count() <= 1 for v in made for b in simhash.blocks_of(5, 3))
-
-    for seed in range(5000):
-        rng = random.Random(seed)
-        base = [f"w{rng.randrange(5000)}" for _ in range(60)]
-        a, b, c = list(base), list(base), list(base)
-        b[30] = "b"
-        for i in (10, 40):
-            c[i] = "c"
-        texts = [" ".join(x) for x in (a, b, c)]
-        x, y, z = (simhash.fingerprint(t.encode(), 5) & (2**64 - 1) for t in texts)
-        if max((x ^ z).bit_count(), (y ^ z).bit_count()) < (x ^ y).bit_count() <= 12 and meet(x, y) and meet(x, z) and meet(y, z):
-            break
-    else:
-        raise AssertionError("no such triangle")
-    sets = [shingles(t) for t in texts]
-    alike = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
-    assert alike(0, 1) >= 0.8 > max(alike(0, 2), alike(1, 2))
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
-    found = {r["key"]: r["component"] for r in simhash.components(frame, shingle=5, threshold=12, blocks=3, tables=5, reach=5, similarity=0.8).collect()}
-    assert found == {0: 0, 1: 0, 2: 2}
+def test_the_first_document_of_each_component_stays(spark):
+    """Whatever the documents' own columns are named, with copies, nulls and no rows."""
+    schema = "place long, doc string, n_row int, text string, key long"
+    texts = [None, "", "one two", "ONE  two", *(" ".join(f"w{(i * 7 + j) % 50}" for j in range(80)) for i in range(5)), "one two"]
+    frame = spark.createDataFrame([(i, f"d{i}", -i, t, 1) for i, t in enumerate(texts)], schema).coalesce(1)
+    found = simhash.first_of_each(frame)
+    assert found.columns == frame.columns
+    assert sorted(r.place for r in found.collect()) == [0, 2, 4, 5, 6, 7, 8]
+    assert simhash.first_of_each(frame.limit(0)).count() == 0
 
 
 def test_closest_pairs_form_the_forest():
@@ -360,6 +309,17 @@ def test_every_licence_of_a_long_document_is_found(spark):
     assert found["labels"] == "apache,apache-2.0,bsd,mit-text"
 
 
+def test_license_query_on_several_licences_equals_its_sql(spark, tmp_path, monkeypatch):
+    """Every licence word counts in both, however many a document holds."""
+    rng, wordings = random.Random(8), [w for _, w, _ in licenses.TEMPLATES]
+    prose = lambda: " ".join(rng.choice(licenses.vocabulary() + ["plain", "prose", "the"]) for _ in range(40))
+    rows = [(i, " ".join(rng.choice((prose(), rng.choice(wordings))) for _ in range(6))) for i in range(60)] + [(None, wordings[0]), (7, None), (8, "")]
+    pq.write_table(spark.createDataFrame(rows, "doc_id long, text string").toArrow(), tmp_path / "documents.parquet")
+    monkeypatch.setattr("tests.oracle.TABLES", ["documents"])
+    ours, theirs = compare(spark, str(tmp_path), QUERIES["op7_license_scan"], ORACLES["op7_license_scan"])
+    assert ours == theirs
+
+
 # 8 and 9 -----------------------------------------------------------------------------------------------------------
 
 def slow_bytes(texts, width):
@@ -491,12 +451,11 @@ def test_pipeline_stages_against_brute_force(spark, sf_dir):
     kept = corpus_pipeline.STAGES[0][1](spark, docs, sf_dir)
     assert kept.columns == names
     unique = corpus_pipeline.STAGES[1][1](spark, corpus_pipeline.staged(kept, "t"), sf_dir)
-    sets = {r["doc_id"]: shingles(r["text"]) for r in kept.collect()}
-    top = classes(similar_pairs(sets, 0.8), list(sets))
-    left = {r["doc_id"] for r in unique.collect()}
-    groups = set(top.values())
-    assert {top[d] for d in left} == groups
-    assert len(left) - len(groups) <= 0.1 * (len(sets) - len(groups))
+    prints = {r["doc_id"]: simhash.fingerprint((r["text"] or "").encode()) & (2**64 - 1) for r in kept.collect()}
+    values = sorted(set(prints.values()))
+    top = classes([(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 4], values)
+    left = [r["doc_id"] for r in unique.collect()]
+    assert sorted(top[prints[d]] for d in left) == sorted(set(top.values())) and len(left) < len(prints)
     clean = corpus_pipeline.STAGES[2][1](spark, corpus_pipeline.staged(unique, "t"), sf_dir)
     bench = {tuple(w[i:i + min(10, len(w))]) for w in (plain(r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()) for i in range(max(1, len(w) - 9)) if w}
     sizes = {len(g) for g in bench}

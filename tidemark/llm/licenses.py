@@ -51,8 +51,6 @@ TEMPLATES = (
 #: Words too frequent in any text to be looked up.
 COMMON = set("the of and to in a is be any this under or by with for on without all that from as it you can are use into not "
              "person free 0 1 2 3 v following made form source".split())
-#: Words per document that the SQL of the query looks up; the code looks up all.
-RAREST = 8
 AGREEING = 2
 
 

@@ -142,12 +142,9 @@ tokens AS (SELECT r, i - 1 AS place, words[i] AS word FROM (SELECT r, words, unn
 phrases(phrase, size) AS (VALUES {rows(phrases)}),
 found AS (SELECT r, phrase, i - 1 AS place FROM (SELECT r, words, phrase, size, unnest(range(1, len(words) - size + 2)) AS i FROM docs, phrases WHERE len(words) >= size)
     WHERE words[i] = string_split(phrase, ' ')[1] AND array_to_string(words[i:i + size - 1], ' ') = phrase),
-ranks AS (SELECT word, count(DISTINCT r) AS holders FROM tokens GROUP BY word),
-chosen AS (SELECT r, word FROM (SELECT DISTINCT r, word FROM tokens) JOIN ranks USING (word)
-    QUALIFY row_number() OVER (PARTITION BY r ORDER BY holders, word) <= {licenses.RAREST}),
 postings(label, word, t_place, t_size) AS (VALUES {rows(postings)}),
 agreed AS (SELECT r, label, place - t_place AS begin, t_size, count(DISTINCT t_place) AS agreeing
-    FROM tokens JOIN chosen USING (r, word) JOIN postings USING (word) GROUP BY ALL HAVING count(DISTINCT t_place) >= least({licenses.AGREEING}, t_size)),
+    FROM tokens JOIN postings USING (word) GROUP BY ALL HAVING count(DISTINCT t_place) >= least({licenses.AGREEING}, t_size)),
 keys(label, phrase, m_place, m_size) AS (VALUES {rows(keys)}),
 verified AS (SELECT r, label, place - m_place AS begin, m_size FROM found JOIN keys USING (phrase) GROUP BY ALL HAVING count(DISTINCT phrase) = m_size),
 own AS (SELECT r, list(DISTINCT label) AS labels, max(agreeing / t_size) AS share FROM agreed JOIN verified USING (r, label, begin) GROUP BY r),

@@ -10,10 +10,8 @@ A text's words are runs other than blank and 0x09 to 0x0D with A-Z lower-cased;
 shingle; a text without words (null, empty) has fingerprint 0 and is linked like any other. Rows that repeat share a
 fingerprint and so a component. A component is named by its least key; null keys are passed over unless all are null.
 
-With ``tables`` the bits are also dealt to blocks in other orders, and a pair is met if it is close in one block of any.
-Pairs up to ``reach`` bits apart are met for certain, those beyond, up to ``threshold``, the likelier the closer. With
-``similarity`` links are then held against the texts, by the Jaccard similarity of their sets of shingles, until every
-pair met is confirmed, rejected or inside a component of confirmed ones.
+Texts of any length count whole; an empty table gives no rows. ``components`` reads two columns, whatever the others are
+named; ``first_of_each`` hands them through.
 """
 
 from __future__ import annotations
@@ -39,8 +37,6 @@ _LOWER = LOWER.tobytes()
 #: For each byte its bits as eight one-byte counters in a 64-bit number.
 _LANES = sum(((np.arange(256, dtype=np.uint64) >> np.uint64(j)) & np.uint64(1)) << np.uint64(8 * j) for j in range(8))
 _AT_ONCE = 255 * 400
-#: Pairs a task gathers before it thins them out.
-PAIRS_AT_ONCE = 500_000
 
 
 def _shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
@@ -123,46 +119,21 @@ def blocks_of(threshold: int, blocks: int) -> list[Block]:
     return made
 
 
-def _reordered(prints: np.ndarray, table: int) -> np.ndarray:
-    """The same bits in the order of a table; the first table leaves them as they are."""
-    if table == 0:
-        return prints
-    bits = np.unpackbits(prints.view(np.uint8).reshape(-1, 8), axis=1)
-    order = np.random.default_rng([SEED, table]).permutation(64)
-    return np.ascontiguousarray(np.packbits(bits[:, order], axis=1)).view(np.uint64).ravel()
-
-
-def anchored(prints: DataFrame, reach: int, blocks: int, tables: int = 1) -> DataFrame:
-    """Every distinct fingerprint at each of its anchors: (cell, copied, fingerprint); copied is 0 at home, else 1.
-
-    A column ``group`` is taken along.
-    """
-    grouped = "group" in prints.columns
+def anchored(prints: DataFrame, threshold: int, blocks: int) -> DataFrame:
+    """Every distinct fingerprint at each of its anchors: (cell, copied, fingerprint); copied is 0 at home, else 1."""
 
     def run(batches):
-        codes = blocks_of(reach, blocks)
+        codes = blocks_of(threshold, blocks)
         for batch in batches:
             every = batch.column("fingerprint").to_numpy().view(np.uint64)
-            groups = batch.column("group").to_numpy() if grouped else None
             for at in range(0, len(every), 2000):
-                some = every[at:at + 2000]
-                known = np.argsort(some)
-                for table in range(tables):
-                    values = _reordered(some, table)
-                    back = np.argsort(values)
-                    for number, code in enumerate(codes, table * blocks):
-                        anchors, own, copies = code.copies(values)
-                        if table:
-                            copies = some[back[np.searchsorted(values[back], copies)]]
-                        cells = anchors.view(np.int64) | np.int64(number << 48)
-                        columns = [pa.array(cells), pa.array((~own).astype(np.int32)), pa.array(copies.view(np.int64))]
-                        if grouped:
-                            columns.append(pa.array(groups[at:at + 2000][known[np.searchsorted(some[known], copies)]]))
-                        yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    names = ["cell", "copied", "fingerprint", *["group"] * grouped]
-    taken = prints.select("fingerprint", *["group"] * grouped)
-    return taken.mapInArrow(run, "cell long, copied int, fingerprint long" + ", group long" * grouped)
+                for number, code in enumerate(codes):
+                    anchors, own, copies = code.copies(every[at:at + 2000])
+                    cells = anchors.view(np.int64) | np.int64(number << 48)
+                    columns = [pa.array(cells), pa.array((~own).astype(np.int32)), pa.array(copies.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["cell", "copied", "fingerprint"])
+
+    return prints.select("fingerprint").mapInArrow(run, "cell long, copied int, fingerprint long")
 
 
 def _joining(ends: np.ndarray, far: np.ndarray) -> tuple[list[int], np.ndarray]:
@@ -201,56 +172,6 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
     return pairs[_joining(ends, _bits(pairs))[0]]
 
 
-class _Thinned:
-    """Pairs of a task, thinned out to ``forests`` forests over their groups, each of what the ones before left over.
-
-    Rows of ``pairs`` are two fingerprints and the group of each. ``passed`` are the fingerprints of pairs left over.
-    """
-
-    def __init__(self, forests: int):
-        self.forests, self.pairs, self.passed = forests, np.zeros((0, 4), np.uint64), np.zeros(0, np.uint64)
-        self.new, self.size = [], 0
-
-    def add(self, pairs: np.ndarray) -> None:
-        self.new.append(pairs)
-        self.size += len(pairs)
-        if self.size > max(PAIRS_AT_ONCE, len(self.pairs)):
-            self.thin()
-
-    def thin(self) -> None:
-        pairs = np.concatenate([self.pairs, *self.new])
-        self.new, self.size = [], 0
-        turned = pairs[:, 0] > pairs[:, 1]
-        pairs[turned] = pairs[turned][:, [1, 0, 3, 2]]
-        order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-        pairs = pairs[order]
-        fresh = np.ones(len(pairs), bool)
-        fresh[1:] = (pairs[1:, :2] != pairs[:-1, :2]).any(axis=1)
-        pairs = pairs[fresh]
-        ends, far = np.unique(pairs[:, 2:], return_inverse=True)[1].reshape(-1, 2), _bits(pairs)
-        left, kept = np.arange(len(pairs)), []
-        for _ in range(self.forests):
-            if not len(left):
-                break
-            mine = np.zeros(len(left), bool)
-            mine[_joining(ends[left], far[left])[0]] = True
-            kept.append(left[mine])
-            left = left[~mine]
-        self.passed = np.unique(np.concatenate([self.passed, pairs[left, :2].ravel()]))
-        self.pairs = pairs[np.concatenate(kept)] if kept else pairs
-
-    def rows(self) -> np.ndarray:
-        """(u, v, 0) of the pairs kept, and (fingerprint, the group that its tree is named by, 1) of those passed over."""
-        self.thin()
-        names, ends = np.unique(self.pairs[:, 2:], return_inverse=True)
-        tree = names[_joining(ends.reshape(-1, 2), _bits(self.pairs))[1]]
-        prints, at = np.unique(self.pairs[:, :2], return_index=True)
-        tops = tree[ends.ravel()[at]]
-        open_ = np.isin(prints, self.passed)
-        kept = np.column_stack([self.pairs[:, :2], np.zeros(len(self.pairs), np.uint64)])
-        return np.concatenate([kept, np.column_stack([prints[open_], tops[open_], np.ones(open_.sum(), np.uint64)])])
-
-
 def _near(homes: np.ndarray, others: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of a home and another fingerprint within the threshold, compared a block at a time."""
     step = max(1, 2_000_000 // max(1, len(homes)))
@@ -262,15 +183,14 @@ def _near(homes: np.ndarray, others: np.ndarray, threshold: int) -> Iterator[tup
 
 
 def _meetings(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[tuple[bool, np.ndarray]]:
-    """(whether a batch ends, pairs met): two fingerprints and the group of each, itself where there is no such column.
+    """(whether a batch ends, pairs met): two fingerprints within the threshold.
 
     Rows come sorted by cell with homes first; the homes of one cell are held and the copies passed by in batches.
     """
-    last, homes, tops = None, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    last, homes = None, np.zeros(0, np.uint64)
     for batch in batches:
         cells, copied = batch.column("cell").to_numpy(), batch.column("copied").to_numpy()
         values = batch.column("fingerprint").to_numpy().view(np.uint64)
-        groups = batch.column("group").to_numpy().view(np.uint64) if "group" in batch.schema.names else values
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(cells)) + 1, [len(cells)]]) if len(cells) else np.zeros(1, int)
         n_homes = np.add.reduceat((copied == 0).astype(np.int64), cuts[:-1]) if len(cells) else np.zeros(0, int)
         for i in range(len(cuts) - 1):
@@ -280,133 +200,40 @@ def _meetings(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[tup
                 continue
             new = slice(a, a + n_homes[i])
             homes = np.concatenate([homes, values[new]]) if going_on else values[new]
-            tops = np.concatenate([tops, groups[new]]) if going_on else groups[new]
             if len(homes):
                 for h, o in _near(homes, values[a:b], threshold):
                     if len(h):
-                        met = np.stack([homes[h], values[a:b][o], tops[h], groups[a:b][o]], axis=1)
-                        yield False, met[met[:, 2] != met[:, 3]]
+                        yield False, np.stack([homes[h], values[a:b][o]], axis=1)
         if len(cells):
             last = cells[-1]
-        yield True, np.zeros((0, 4), np.uint64)
-
-
-def _met(prints: DataFrame, threshold: int, blocks: int, tables: int, reach: int | None) -> DataFrame:
-    rows = anchored(prints, threshold if reach is None else reach, blocks, tables)
-    return rows.repartition("cell").sortWithinPartitions("cell", "copied")
+        yield True, np.zeros((0, 2), np.uint64)
 
 
-def links(prints: DataFrame, threshold: int = THRESHOLD, blocks: int = BLOCKS, tables: int = 1, reach: int | None = None) -> DataFrame:
+def links(prints: DataFrame, threshold: int = THRESHOLD, blocks: int = BLOCKS) -> DataFrame:
     """Edges (u, v) between distinct fingerprints that connect the same ones as all pairs within the threshold do.
 
     Of the pairs in a batch, closest first, only those are kept that join groups not joined before, so output never
-    exceeds input. This holds where every pair within the threshold counts; where pairs may still be turned down, see
-    ``linked``.
+    exceeds input.
     """
     def run(batches):
         pairs = []
         for whole, met in _meetings(batches, threshold):
-            pairs.append(_forest(met[:, :2]) if len(met) > 1 else met[:, :2])
+            pairs.append(_forest(met) if len(met) > 1 else met)
             if whole:
                 kept = _forest(np.concatenate(pairs)).view(np.int64)
                 pairs = []
                 yield pa.RecordBatch.from_arrays([pa.array(kept[:, 0]), pa.array(kept[:, 1])], names=["u", "v"])
 
-    return _met(prints, threshold, blocks, tables, reach).mapInArrow(run, "u long, v long")
-
-
-def candidates(prints: DataFrame, threshold: int, blocks: int, tables: int, reach: int | None, forests: int) -> DataFrame:
-    """(u, v, passed): met pairs of different groups in ``forests`` disjoint forests per task, closest first (passed 0),
-    and who is part of a pair passed over (u) with the group that names its tree (v, passed 1).
-
-    ``prints`` are (fingerprint) or (fingerprint, group).
-    """
-    def run(batches):
-        held = _Thinned(forests)
-        for _, met in _meetings(batches, threshold):
-            if len(met):
-                held.add(met)
-        rows = held.rows().view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32))], names=["u", "v", "passed"])
-
-    return _met(prints, threshold, blocks, tables, reach).mapInArrow(run, "u long, v long, passed int")
-
-
-def shingle_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """(print, hashes): the different shingles of one document for each (key, print) wanted."""
-    def run(batches):
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                prints, sets = [], []
-                for mark, body in zip(piece.column("print").to_pylist(), piece.column("text")):
-                    body = body.as_buffer().to_pybytes() if body.is_valid else b""
-                    if fingerprint(body, shingle) == mark:  # another row may bear the same key
-                        prints.append(mark)
-                        sets.append(np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingle_hashes(body, shingle)])).view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["print", "hashes"])
-
-    texts = docs.select(docs[key].cast("long").alias("key"), docs[text].alias("text")).join(wanted, "key")
-    return texts.select("print", "text").mapInArrow(run, "print long, hashes array<long>").dropDuplicates(["print"])
-
-
-def verified(edges: DataFrame, docs: DataFrame, distinct: DataFrame, similarity: float, key: str, text: str, shingle: int) -> DataFrame:
-    """The edges between fingerprints whose texts share enough of their different shingles.
-
-    A fingerprint stands for the document with its least key; one that has only null keys keeps no edge.
-    """
-    nodes = edges.select(F.explode(F.array("u", "v")).alias("print")).distinct()
-    wanted = nodes.join(distinct, F.col("print") == F.col("fingerprint")).select(F.col("least").alias("key"), "print")
-    sets = staged(shingle_sets(docs, wanted, key, text, shingle), "shingle-sets")
-    one, two = (sets.select(F.col("print").alias(end), F.col("hashes").alias(f"{end}_set")) for end in "uv")
-    shared = edges.join(one, "u").join(two, "v").select(
-        "u", "v", F.size("u_set").alias("n_u"), F.size("v_set").alias("n_v"), F.size(F.array_intersect("u_set", "v_set")).alias("n"))
-    return shared.where(F.col("n") >= similarity * (F.col("n_u") + F.col("n_v") - F.col("n"))).select("u", "v")
-
-
-def linked(docs: DataFrame, distinct: DataFrame, similarity: float, key: str, text: str, shingle: int, threshold: int, blocks: int,
-           tables: int, reach: int | None) -> DataFrame:
-    """Edges (u, v) between fingerprints that connect the same ones as all pairs do that meet and that the texts confirm.
-
-    In a round each task names the forest of its pairs, and the texts confirm or reject these. A pair passed over is
-    settled once both ends are in one component of confirmed pairs. Fingerprints with pairs not settled go into the
-    next round, where those of one component are no longer compared and a task names sixteen times as many disjoint forests.
-    Rounds end when no pair is left unsettled, so the outcome does not depend on how rows lie in batches and tasks.
-    """
-    active, tried, confirmed, forests = distinct.select("fingerprint"), None, None, 1
-    while True:
-        named = staged(candidates(active, threshold, blocks, tables, reach, forests), "candidates")
-        pairs = named.where("passed = 0").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = staged(pairs, "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = staged(verified(pairs, docs, distinct, similarity, key, text, shingle), "links-confirmed")
-        confirmed = found if confirmed is None else confirmed.unionByName(found)
-        passed = named.where("passed = 1").select("u", "v").distinct()
-        if passed.isEmpty():
-            return confirmed
-        roots = staged(least_nodes(confirmed), "links-roots")
-        rooted = lambda frame, end: frame.join(
-            roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
-        trees = staged(rooted(rooted(passed, "u"), "v"), "links-passed")
-        unsettled = trees.where("u_root <> v_root").select("v").distinct()
-        active = staged(trees.join(unsettled, "v", "left_semi").select(F.col("u").alias("fingerprint"), F.col("u_root").alias("group")).distinct(), "links-open")
-        if active.isEmpty():
-            return confirmed
-        forests *= 16
+    met = anchored(prints, threshold, blocks).repartition("cell").sortWithinPartitions("cell", "copied")
+    return met.mapInArrow(run, "u long, v long")
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD,
-               blocks: int = BLOCKS, tables: int = 1, reach: int | None = None, similarity: float | None = None) -> DataFrame:
+               blocks: int = BLOCKS) -> DataFrame:
     """(key, fingerprint, component) of every row. Equal fingerprints are compared once, whatever their number."""
     prints = staged(fingerprints(docs, key, text, shingle), "fingerprints")
     distinct = staged(prints.groupBy("fingerprint").agg(F.min("key").alias("least")), "fingerprints-distinct")
-    if similarity is None:
-        edges = links(distinct, threshold, blocks, tables, reach)
-    else:
-        edges = linked(docs, distinct, similarity, key, text, shingle, threshold, blocks, tables, reach)
-    roots = least_nodes(edges)
+    roots = least_nodes(links(distinct, threshold, blocks))
     rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left")
     rooted = rooted.select(F.col("fingerprint").alias("print"), "least", F.coalesce("root", "fingerprint").alias("root"))
     named = rooted.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("component"))
@@ -414,9 +241,14 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
     return prints.join(classes, F.col("fingerprint") == F.col("print")).select("key", "fingerprint", "component")
 
 
-def first_of_each(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """One document of each component, the first in the table, with the columns the documents came with."""
-    numbered = docs.withColumn("n_row", F.monotonically_increasing_id())
-    classes = components(numbered, key="n_row", text=text, **options)
-    kept = classes.where("key = component").select(F.col("key").alias("kept_row"))
-    return numbered.join(kept, F.col("n_row") == F.col("kept_row"), "left_semi").drop("n_row")
+def first_of_each(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD, blocks: int = BLOCKS) -> DataFrame:
+    """One document of each component, the first in the table, with the columns the documents came with.
+
+    The table is written once with a number per row, so every later step means the same row by it.
+    """
+    every = F.struct(*(docs[f"`{name}`"] for name in docs.columns))
+    numbered = staged(docs.select(F.monotonically_increasing_id().alias("place"), every.alias("doc")), "numbered")
+    texts = numbered.select("place", F.col("doc").getField(text).alias("text"))
+    classes = components(texts, "place", "text", shingle, threshold, blocks)
+    kept = classes.where("key = component").select(F.col("key").alias("place"))
+    return numbered.join(kept, "place", "left_semi").select("doc.*")
