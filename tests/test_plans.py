@@ -59,11 +59,21 @@ def test_sliding_windows_copy_pane_totals_not_rows(spark, sf_dir):
     assert "HashAggregate" in text[expand:], "rows are added up per pane below the expansion"
 
 
-def test_a_span_of_time_reads_its_own_files(spark, sf_dir):
-    from tidemark.streaming.replay import by_time
+def test_spans_of_time_are_cut_from_the_times_alone(spark, sf_dir):
+    from tidemark.streaming.replay import by_time, spans_of_time
 
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    sliced = by_time(events, "ts", 4000)
-    assert sliced.select("slice").distinct().count() == 4
-    assert sliced.count() == events.count()
-    assert "PartitionFilters: [isnotnull(slice" in formatted(spark, sliced.where("slice = 1"))
+    written = spark.read.parquet(by_time(events, "ts", 4000, 4))
+    assert written.select("slice").distinct().count() == 4 and written.count() == events.count()
+    span, last = spans_of_time(events, "ts", 4000, 4)
+    assert last == 3 and "Exchange" not in plan(events.select(span.alias("slice")))
+
+
+def test_a_query_leaves_the_time_zone_of_its_caller(spark, sf_dir):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        found = [sorted(map(tuple, QUERIES[name](spark, sf_dir).collect()), key=str) for name in ("window_tumbling", "parse_post_time", "level_month_counts")]
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == [sorted(map(tuple, QUERIES[name](spark, sf_dir).collect()), key=str) for name in ("window_tumbling", "parse_post_time", "level_month_counts")]

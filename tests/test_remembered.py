@@ -1,0 +1,77 @@
+"""A bounded memory of finished keys: nothing is known that was not finished, but for a stated share; state stays small."""
+
+import random
+from types import SimpleNamespace
+
+import pandas as pd
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.test_unit_processors import MS, Handle
+from tests.unit_simulation import walk_key
+
+from tidemark.streaming.remembered import BITS_PER_KEY, FALSE_DROPS, GENERATIONS, SEGMENT_BITS, Finished, RememberingProcessor, segments_for
+
+
+def mark(number):
+    value = xxhash.xxh64_intdigest(str(number).encode())
+    return value - (value >> 63 << 64)
+
+
+def test_filters_know_the_last_keys_and_stay_small():
+    handle = Handle()
+    kept = Finished(handle, 8)
+    per_filter = 8 * SEGMENT_BITS // BITS_PER_KEY
+    for number in range(7 * per_filter):
+        kept.add(mark(number))
+        if number % 1000 == 0:
+            kept.save()
+    kept.save()
+    last = (GENERATIONS - 1) * per_filter
+    assert all(mark(n) in kept for n in range(7 * per_filter - last, 7 * per_filter))
+    entries = handle.states["finished"].entries
+    assert len(entries) == GENERATIONS * 8 and all(len(bits) == SEGMENT_BITS // 8 for (bits,) in entries.values())
+    fresh = sum(mark(-n) in kept for n in range(1, 40_001))
+    assert fresh / 40_000 < 2 * GENERATIONS * FALSE_DROPS
+    assert sum(mark(n) in kept for n in range(per_filter)) < 0.01 * per_filter  # the oldest are forgotten
+
+
+@pytest.mark.parametrize("remember, shards, segments", [(1, 64, 1), (1_000_000, 8, 26), (10**9, 4096, 50)])
+def test_segments_hold_what_is_to_be_remembered(remember, shards, segments):
+    assert segments_for(remember, shards) == segments
+    assert segments * SEGMENT_BITS // BITS_PER_KEY * (GENERATIONS - 1) * shards >= 0.999 * remember
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(1, 60)), min_size=1, max_size=60), st.lists(st.integers(0, 60), max_size=4),
+       st.integers(1, 5), st.integers(1, 30))
+def test_first_units_of_many_keys_in_a_shard(pairs, cuts, size, deadline):
+    rows = sorted((us * MS, key, i) for i, (key, us) in enumerate(pairs))
+    bounds = [0, *sorted(min(c, len(rows)) for c in cuts), len(rows)]
+    processor, handle, found, watermark = RememberingProcessor(size, deadline * MS, 1, "bigint"), Handle(), [], 0
+    processor.init(handle)
+    for some in [*(rows[a:b] for a, b in zip(bounds, bounds[1:])), []]:
+        now = SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark)
+        some = [row for row in some if row[0] > watermark * MS]  # others would be late
+        if some:
+            random.Random(1).shuffle(some)
+            frame = pd.DataFrame({"us": [r[0] for r in some], "mark": [mark(r[1]) for r in some], "key": [None if r[1] == 4 else r[1] for r in some]})
+            found += processor.handleInputRows((0,), iter([frame]), now)
+        for due in sorted(t for t in handle.timers if t <= watermark):
+            handle.timers.discard(due)
+            found += processor.handleExpiredTimer((0,), now, None)
+        watermark = max([watermark, *(r[0] // MS for r in some)])
+    seen, expected, newest = [], set(), 0
+    for a, b in zip(bounds, bounds[1:]):
+        seen += [row for row in rows[a:b] if row[0] > newest]
+        newest = max([newest, *(r[0] for r in rows[a:b])])
+    for key in range(5):
+        unit = next(walk_key([(us, i) for us, k, i in seen if k == key and us <= newest], size, deadline=deadline * MS), [])
+        if len(unit) == size:
+            expected.add((str(None if key == 4 else key), size, unit[0][0], unit[-1][0]))
+    ours = {(str(None if pd.isna(r.key) else int(r.key)), r.n, r.first_us, r.last_us) for frame in found for r in frame.itertuples()}
+    assert ours == expected
+    open_keys = handle.states["units"].entries
+    assert all(first + deadline * MS > newest for _, first in open_keys.values())

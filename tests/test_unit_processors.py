@@ -56,11 +56,14 @@ class Mapped:
         return self.entries.get(key)
 
     def updateValue(self, key, value):
-        assert len(value[0]) <= stream_units.CHUNK
+        assert not isinstance(value[0], list) or len(value[0]) <= stream_units.CHUNK
         self.entries[key] = value
 
     def removeKey(self, key):
-        del self.entries[key]
+        self.entries.pop(key, None)
+
+    def iterator(self):
+        return iter(list(self.entries.items()))
 
 
 class Handle:
@@ -233,6 +236,36 @@ def test_waiting_rows_lie_in_small_chunks(monkeypatch):
     assert len(read) <= 2 * 3 and len(handle.states["waiting"].entries) > 20
 
 
+@settings(max_examples=100, deadline=None)
+@given(arrivals(), st.integers(1, 6), RULES, st.integers(1, 4), st.integers(1, 3))
+def test_busy_keys_are_walked_in_stretches(arrived, size, bound, chunk, merged):
+    """With tiny chunks and more than one Arrow batch a call, units are the same, and no walk gets more than it may."""
+    late, triggers = arrived
+    triggers = accepted(late, triggers)
+    kind, length = bound[0], bound[1] * MS
+    whole, _, _ = run(UnitProcessor(UnitRule(size, **{kind: length})), triggers, late)
+    kept = stream_units.CHUNK, stream_units.MERGED
+    stream_units.CHUNK, stream_units.MERGED = chunk, merged
+    try:
+        parts, handle, _ = run(UnitProcessor(UnitRule(size, **{kind: length})), triggers, late)
+    finally:
+        stream_units.CHUNK, stream_units.MERGED = kept
+    assert list(map(tuple, parts)) == list(map(tuple, whole))
+
+
+def test_a_call_holds_a_bounded_number_of_rows(monkeypatch):
+    """30,000 rows of one key in one micro-batch of many Arrow batches."""
+    processor, handle, sizes = UnitProcessor(UnitRule(7, idle=50 * MS)), Handle(), []
+    processor.init(handle)
+    walked = processor.walk
+    monkeypatch.setattr(processor, "walk", lambda key, rows, us: sizes.append(0 if rows is None else len(rows)) or walked(key, rows, us))
+    batches = (pd.DataFrame({"us": [(1 + i % 1000 + 1000 * b) * MS for i in range(1000)]}) for b in range(30))
+    assert list(processor.handleInputRows((7,), batches, SimpleNamespace(getCurrentWatermarkInMs=lambda: 0))) == []
+    handle.timers.clear()
+    found = pd.concat(processor.handleExpiredTimer((7,), SimpleNamespace(getCurrentWatermarkInMs=lambda: 10**6), None))
+    assert sum(found["n"]) == 30_000 and max(sizes) <= stream_units.CHUNK * (stream_units.MERGED + 1) and handle.is_empty()
+
+
 def test_missing_payload_values_wait_too():
     rows = pd.DataFrame({"us": [5 * MS, 6 * MS], "seq": [1, 2], "a": [1.0, None], "b": ["x", None]})
     processor, handle = MemberProcessor(UnitRule(2, idle=50 * MS), {"a": "bigint", "b": "string"}), Handle()

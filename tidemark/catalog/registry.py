@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import prepare
+from tidemark.session import wall_clock_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +17,8 @@ def registered(name: str, sql: str | None = None):
 
     def keep(function):
         def query(spark: SparkSession, folder: str) -> DataFrame:
-            return function(prepare(spark), folder)
+            with wall_clock_utc(spark):
+                return function(spark, folder)
 
         query.__name__, query.__doc__ = name, function.__doc__
         QUERIES[name] = query

@@ -9,8 +9,10 @@ from tidemark.catalog import stand_ins as given
 from tidemark.catalog.registry import registered
 from tidemark.operators import units
 from tidemark.plans import reconciliation as recon
+from tidemark.streaming import remembered
 from tidemark.streaming import units as stream_units
-from tidemark.streaming.replay import replay, replay_branches
+from tidemark.streaming.replay import replay, replay_branches, replay_into
+from tidemark.streaming.unit_batches import UnitsView, events_of
 
 # Settings that give both full and timed-out units on the test events, which span 30 days.
 SIZE = 10
@@ -145,6 +147,16 @@ def stream_units_once(spark, folder):
     return given.wall_clock(found, "first_ts", "last_ts")
 
 
+@registered("stream_units_remembered", _streamed(_ONCE))
+def stream_units_remembered(spark, folder):
+    """The same with a memory of finished keys that does not grow with them."""
+    found = given.replayed(
+        spark, folder, ["user_id"],
+        lambda rows: remembered.once_units(rows, "user_id", "ts", SIZE, DEADLINE, remember=1_000_000, shards=8), APPENDED,
+    )
+    return given.wall_clock(found, "first_ts", "last_ts")
+
+
 @registered("stream_units_exact_members", _streamed(_MEMBERS))
 def stream_units_exact_members(spark, folder):
     """Members wait in the state as columns and are written once their unit is full."""
@@ -156,3 +168,20 @@ def stream_units_exact_members(spark, folder):
         )
 
     return given.replayed(spark, folder, ["user_id", "event_id", "event_type", "value"], members, APPENDED)
+
+
+def _busy(found, folder):
+    return UnitsView(found, folder, SIZE, idle=IDLE)
+
+
+@registered(
+    "stream_units_busy_keys",
+    f"{_IDLE} SELECT * FROM u WHERE n = 10 OR last_ts + INTERVAL 24 hour <= (SELECT max(ts) FROM events)",
+)
+def stream_units_busy_keys(spark, folder):
+    """Units for keys that one task could not follow: shares of a key are walked apart and composed at every trigger."""
+    kept = given.replayed(
+        spark, folder, ["user_id", "event_id"], lambda rows: events_of(rows, "user_id", "ts", "event_id"),
+        partial(replay_into, _busy, mode="append"),
+    )
+    return given.wall_clock(kept.read("user_id"), "first_ts", "last_ts")

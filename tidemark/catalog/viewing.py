@@ -178,6 +178,7 @@ def stream_late_drop(spark, folder):
             stream = streams.table_stream(spark, arriving, "ts timestamp, event_type string")
             per_day = windows.tumbling(stream, "ts", "1 day", "event_type", late="2 days", count=F.count(F.lit(1)))
             found[mode] = replay(per_day, mode, ["window_start", "window_end", "event_type"], **folders)
+    removed_at_end(spark, arriving, *(into for folders in runs.values() for into in folders.values()))
     return stacked(*(
         rows.groupBy(F.lit(mode).alias("mode"), "event_type").agg(F.sum("count").alias("count"))
         for mode, rows in found.items()

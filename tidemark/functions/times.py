@@ -24,12 +24,6 @@ def month_name(number: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, MONTHS)), number)
 
 
-def month_number_of_name(name: Column) -> Column:
-    """Month number of an English month name, null for anything else."""
-    place = F.array_position(F.array(*map(F.lit, MONTHS)), name)
-    return F.when(place > 0, place.cast("int"))
-
-
 def log_time(text: Column) -> Column:
     """Log timestamps as text, also with unpadded month and day (``2015-4-21 14:32:21``)."""
     return F.try_to_timestamp(text, F.lit("yyyy-M-d HH:mm:ss"))

@@ -393,9 +393,9 @@ def status(size: int):
 
 
 def unit_members(events: DataFrame, key: str, ts: str, order: str, size: int, payload: list[str], *,
-                 idle: timedelta | None = None, partitions: int | None = None) -> DataFrame:
+                 idle: timedelta | None = None, deadline: timedelta | None = None, partitions: int | None = None) -> DataFrame:
     """Every event with the number and the final size of its unit: ``key, <payload>, unit_no, n``."""
-    rule = UnitRule(size, micros(idle))
+    rule = UnitRule(size, micros(idle), micros(deadline))
     return _walked(events, key, ts, order, rule, True, payload, partitions).withColumnRenamed("key", key)
 
 

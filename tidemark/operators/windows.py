@@ -55,15 +55,6 @@ def running(df: DataFrame, *keys: str, **totals: Column) -> DataFrame:
     return df.groupBy(*keys).agg(*(c.alias(n) for n, c in totals.items()))
 
 
-def newest_of_panes(pane_totals: DataFrame, size: str, slide: str, *keys: str, totals: list[str]) -> DataFrame:
-    """Only the window that ends with the last pane: what a job shows at each slide. Reads just that window's panes."""
-    length, step = F.expr(f"INTERVAL {size}"), F.expr(f"INTERVAL {slide}")
-    last = pane_totals.agg(F.max("pane")).scalar()  # a filter by one value goes below the sums of the panes
-    covered = pane_totals.where(F.col("pane") >= last + step - length).groupBy(*keys)
-    return covered.agg(*(F.sum(n).alias(n) for n in totals)).select(
-        (last + step - length).alias("window_start"), (last + step).alias("window_end"), *keys, *totals)
-
-
 def first_of_each(df: DataFrame, ts: str, keys: list[str], within: str, salts: int = 16) -> DataFrame:
     """One row per key on a stream, as long as copies come no further than ``within`` apart.
 

@@ -75,12 +75,6 @@ def sliding_seconds(panes: DataFrame, size: str = "60 minutes", slide: str = "1
     return windows.windows_of_panes(panes, size, slide, "course_name", totals=["seconds"])
 
 
-def newest_seconds(panes: DataFrame, size: str = "60 minutes", slide: str = "1 minute") -> DataFrame:
-    """Only the window up to the last view, most watched first: what a job shows at each slide."""
-    newest = windows.newest_of_panes(panes, size, slide, "course_name", totals=["seconds"])
-    return newest.orderBy(F.desc("seconds"), "course_name")
-
-
 def levels_of_lines(lines: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """``level, ts`` of lines ``level,time``, the time as a timestamp or as ``Tue Jan 02 10:11:12 GMT 2024``.
 
@@ -108,8 +102,3 @@ def untimed_levels(lines: DataFrame, arrived: str, slide: str = "10 seconds", la
     """
     untimed = levels_of_lines(lines, keep=(arrived,)).where("ts IS NULL")
     return windows.panes(untimed, arrived, slide, "level", late=late, count=F.count(F.lit(1)))
-
-
-def sliding_levels(panes: DataFrame, size: str = "2 minutes", slide: str = "10 seconds") -> DataFrame:
-    """``window_start, window_end, level, count`` of every window."""
-    return windows.windows_of_panes(panes, size, slide, "level", totals=["count"])

@@ -9,10 +9,10 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on: UTC wall-clock time and ANSI month names come out the same everywhere."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+def wall_clock_utc(spark: SparkSession):
+    """Pin what results depend on while a query is put together: its expressions keep UTC as their time zone, and the
+    session gets its own back."""
+    return settings(spark, spark__sql__session__timeZone="UTC")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

@@ -55,9 +55,11 @@ def replay(stream: DataFrame, mode: str, keys: Sequence[str] = (), *, partitions
     micro-batch (complete). Handing in the same folders again goes on where the last replay ended.
     """
     spark = stream.sparkSession
-    folder = folder or shared_folder(spark, "results")
-    checkpoint = checkpoint or shared_folder(spark, "query")
+    fresh = folder is None
+    folder, checkpoint = folder or shared_folder(spark, "results"), checkpoint or shared_folder(spark, "query")
     _started(stream, partitions, lambda trigger: sinks.to_table(stream, mode, folder, checkpoint, trigger, keys), feed)
+    if fresh:
+        removed_at_end(spark, folder, checkpoint)
     return stored(spark, folder, stream.schema, mode, keys)
 
 
@@ -71,9 +73,12 @@ def replay_into(view, stream: DataFrame, mode: str, *, partitions: int | None =
                 checkpoint: str | None = None, feed: Feed | None = None):
     """Replay into one of the ``views``, handed in as a function of the stream and of the folder it lives in; returns it."""
     spark = stream.sparkSession
-    kept = view(stream, folder or shared_folder(spark, "results"))
-    checkpoint = checkpoint or shared_folder(spark, "query")
+    fresh = folder is None
+    folder, checkpoint = folder or shared_folder(spark, "results"), checkpoint or shared_folder(spark, "query")
+    kept = view(stream, folder)
     _started(stream, partitions, lambda trigger: views.kept_by(kept, stream, mode, checkpoint, trigger), feed)
+    if fresh:
+        removed_at_end(spark, folder, checkpoint)
     return kept
 
 
@@ -81,9 +86,11 @@ def replay_branches(stream: DataFrame, mode: str, branches: Mapping[str, Column]
                     folder: str | None = None, checkpoint: str | None = None, feed: Feed | None = None) -> DataFrame:
     """Replay into several outputs; the result stacks them under a column ``branch``."""
     spark = stream.sparkSession
-    folder = folder or shared_folder(spark, "results")
-    checkpoint = checkpoint or shared_folder(spark, "query")
+    fresh = folder is None
+    folder, checkpoint = folder or shared_folder(spark, "results"), checkpoint or shared_folder(spark, "query")
     _started(stream, partitions, lambda trigger: sinks.to_branches(stream, mode, branches, folder, checkpoint, trigger), feed)
+    if fresh:
+        removed_at_end(spark, folder, checkpoint)
     return stacked(*(
         spark.read.schema(stream.schema).parquet(f"{folder}/{name}/batch_id=*").withColumn("branch", F.lit(name))
         for name in branches

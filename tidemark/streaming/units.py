@@ -5,7 +5,10 @@ same units however they arrive within the lateness and wherever micro-batches ar
 small sorted chunks keyed by their first time: a trigger writes its rows once and reads only chunks the watermark reaches.
 Beyond that, only what the rules need is kept per key: size, first and last time of the open unit, or (for
 ``exact_members``) the members of the open unit, at most ``size - 1`` of them. A micro-batch hands all new rows of a key
-to one call, so bound its size at the source (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+to one call. Where these are more than an Arrow batch, or more than ``MERGED`` chunks are due, they go through the map
+state and come back a stretch of time after the other, so the call holds that many chunks, one Arrow batch and what
+overlaps in time, however busy the key. Bound a micro-batch at the source (``maxOffsetsPerTrigger`` /
+``maxFilesPerTrigger``) all the same: a key's rows are walked by one task.
 
 A unit is written once the watermark has passed its last event, or the time at which it ends without one. Events after
 the last watermark are still open when a stream stops.
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import timedelta
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -26,8 +30,8 @@ from tidemark.functions.times import from_micros, to_micros
 from tidemark.operators.unit_rules import UnitRule, walk
 from tidemark.operators.units import micros, status
 
-#: Rows of a key in one entry of the map state.
-CHUNK = 1024
+#: Rows of a key in one entry of the map state, and entries that are put in order at once.
+CHUNK, MERGED = 1024, 16
 
 
 def _milliseconds(us: int) -> int:
@@ -43,6 +47,7 @@ class Waiting:
     """Rows of a key that the watermark has not passed yet, as sorted chunks keyed by their first time."""
 
     def __init__(self, handle: StatefulProcessorHandle, columns: dict[str, str]):
+        self.back_us: int | None = None
         self.columns, self.order = columns, [name for name in ("us", "seq") if name in columns]
         arrays = ", ".join(f"`{name}` array<{kind}>" for name, kind in columns.items())
         self.chunks = handle.getMapState("waiting", "first_us bigint, number bigint", arrays)
@@ -50,27 +55,37 @@ class Waiting:
     def sorted(self, rows: pd.DataFrame) -> pd.DataFrame:
         return rows.iloc[np.lexsort([rows[name].to_numpy() for name in reversed(self.order)])]
 
-    def add(self, rows: pd.DataFrame) -> None:
+    def add(self, rows: pd.DataFrame) -> int | None:
+        """Let sorted rows wait; their first time."""
         for start in range(0, len(rows), CHUNK):
             chunk = rows.iloc[start : start + CHUNK]
             at = (int(chunk["us"].iloc[0]), 0)
             while self.chunks.containsKey(at):
                 at = (at[0], at[1] + 1)
             self.chunks.updateValue(at, tuple(_values(chunk[name], kind) for name, kind in self.columns.items()))
-
-    def take(self, passed_us: int) -> tuple[pd.DataFrame, int | None]:
-        """Rows up to a time, which no longer wait, and the first time that still does."""
-        keys = [tuple(key) for key in self.chunks.keys()]
-        due = [key for key in keys if key[0] <= passed_us]
-        rows = []
-        for key in due:
-            rows.append(pd.DataFrame(dict(zip(self.columns, self.chunks.getValue(key)))))
+        return int(rows["us"].iloc[0]) if len(rows) else None
+
+    def keys(self) -> list[tuple[int, int]]:
+        return sorted(tuple(key) for key in self.chunks.keys())
+
+    def stretches(self, due: list[tuple[int, int]], passed_us: int) -> Iterator[pd.DataFrame]:
+        """Rows up to a time, which no longer wait, in order; each stretch ends where the next chunk begins, or with the
+        rows of MERGED chunks. Rows of the chunks beyond that time go back, ``back_us`` being the first of their times."""
+        self.back_us = None
+        held: list[pd.DataFrame] = []
+        for place, key in enumerate(due):
+            held.append(pd.DataFrame(dict(zip(self.columns, self.chunks.getValue(key)))))
             self.chunks.removeKey(key)
-        taken = self.sorted(pd.concat(rows))
-        cut = int(np.searchsorted(taken["us"].to_numpy(), passed_us, "right"))
-        self.add(taken.iloc[cut:])
-        first = min((key[0] for key in keys if key[0] > passed_us), default=None)
-        return taken.iloc[:cut], _sooner(first, int(taken["us"].iloc[cut]) if cut < len(taken) else None)
+            if place + 1 < len(due) and len(held) < MERGED:
+                continue
+            rows = self.sorted(pd.concat(held))
+            until = passed_us if place + 1 == len(due) else min(passed_us, due[place + 1][0] - 1)
+            cut = int(np.searchsorted(rows["us"].to_numpy(), until, "right"))
+            held = [rows.iloc[cut:]]
+            if cut:
+                yield rows.iloc[:cut]
+        if held:
+            self.back_us = self.add(held[0])
 
 
 def _values(column: pd.Series, kind: str) -> list:
@@ -94,35 +109,47 @@ class _Ordered(StatefulProcessor):
         self.clock = handle.getValueState("clock", "first_us bigint, wake_ms bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat([some[list(self.columns)] for some in rows])
-        return self._turn(key, self.waiting.sorted(self.wanted(new)), timerValues, False)
+        return self._turn(key, (self.waiting.sorted(self.wanted(some[list(self.columns)])) for some in rows), timerValues, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        return self._turn(key, None, timerValues, True)
+        return self._turn(key, iter(()), timerValues, True)
 
     def wanted(self, rows: pd.DataFrame) -> pd.DataFrame:
         return rows
 
-    def _turn(self, key, new: pd.DataFrame | None, timer_values, fired: bool) -> Iterator[pd.DataFrame]:
+    def _turn(self, key, new: Iterator[pd.DataFrame], timer_values, fired: bool) -> Iterator[pd.DataFrame]:
         passed_us = timer_values.getCurrentWatermarkInMs() * 1000
         before = self.clock.get() or (None, None)
         first_us, wake_ms = before
-        due = []
-        if first_us is not None and first_us <= passed_us:
-            taken, first_us = self.waiting.take(passed_us)
-            due.append(taken)
-        if new is not None:
-            cut = int(np.searchsorted(new["us"].to_numpy(), passed_us, "right"))
-            if cut:
-                due.append(new.iloc[:cut])
-            if cut < len(new):
-                self.waiting.add(new.iloc[cut:])
-                first_us = _sooner(first_us, int(new["us"].iloc[cut]))
-        rows = None if not due else due[0] if len(due) == 1 else self.waiting.sorted(pd.concat(due))
-        found, ends_us = self.walk(key, rows, passed_us)
+        rows, more = next(new, None), next(new, None)
+        if more is not None:
+            for some in chain((rows, more), new):
+                first_us = _sooner(first_us, self.waiting.add(some))
+            rows = None
+        keys = self.waiting.keys() if first_us is not None and first_us <= passed_us else []
+        if rows is not None and sum(at[0] <= passed_us for at in keys) > MERGED:
+            self.waiting.add(rows)
+            keys, rows = self.waiting.keys(), None
+        due = [at for at in keys if at[0] <= passed_us]
+        if due:
+            first_us = min((at[0] for at in keys if at[0] > passed_us), default=None)
+        stretches = self.waiting.stretches(due, passed_us)
+        if len(due) > MERGED:
+            for stretch in stretches:
+                yield from self.walk(key, stretch, int(stretch["us"].iloc[-1]))[0]
+            together = None
+        else:
+            parts = list(stretches)
+            if rows is not None:
+                cut = int(np.searchsorted(rows["us"].to_numpy(), passed_us, "right"))
+                first_us = _sooner(first_us, self.waiting.add(rows.iloc[cut:]))
+                parts += [rows.iloc[:cut]] if cut else []
+            together = None if not parts else parts[0] if len(parts) == 1 else self.waiting.sorted(pd.concat(parts))
+        found, ends_us = self.walk(key, together, passed_us)
+        yield from found
+        first_us = _sooner(first_us, self.waiting.back_us)
         at = _sooner(first_us, ends_us)
         self._set(before, first_us, None if at is None else _milliseconds(at), None if fired else wake_ms)
-        yield from found
 
     def _set(self, before: tuple, first_us: int | None, wake_ms: int | None, timer_ms: int | None) -> None:
         """Every call to the state store costs a round trip, so what stays the same is left alone."""
@@ -292,15 +319,19 @@ def _grouped(events: DataFrame, key: str, ts: str, late: str, *payload):
     return rows.groupBy("key"), rows.schema["key"].dataType.simpleString(), rows
 
 
+def named_units(found: DataFrame, key: str, size: int) -> DataFrame:
+    return found.select(
+        F.col("key").alias(key), "n", status(size).alias("status"),
+        from_micros(F.col("first_us")).alias("first_ts"), from_micros(F.col("last_us")).alias("last_ts"),
+    )
+
+
 def _units(events: DataFrame, key: str, ts: str, late: str, size: int, processor) -> DataFrame:
     groups, key_type, _ = _grouped(events, key, ts, late)
     found = groups.transformWithStateInPandas(
         processor, f"key {key_type}, n bigint, first_us bigint, last_us bigint", "append", "EventTime"
     )
-    return found.select(
-        F.col("key").alias(key), "n", status(size).alias("status"),
-        from_micros(F.col("first_us")).alias("first_ts"), from_micros(F.col("last_us")).alias("last_ts"),
-    )
+    return named_units(found, key, size)
 
 
 def units(events: DataFrame, key: str, ts: str, size: int, *, idle: timedelta | None = None,
