@@ -3,7 +3,8 @@
 Words are runs of ASCII letters and digits and of anything beyond ASCII, with A-Z lower-cased. A window is ``size``
 consecutive words of an item; an item of fewer words is one window. Windows are looked up by a 64-bit hash, and each
 hit is verified word for word. Null and empty texts have no words and are never hit. Repeated items with one id count
-once, items with equal windows are all reported. Items without an id are one item with a null id, listed last.
+once, items with equal windows are all reported. Items without an id are one item with a null id, listed last. Texts of any
+length are scanned whole. Without documents there are no rows, without items no hits. Documents may have any columns.
 """
 
 from __future__ import annotations

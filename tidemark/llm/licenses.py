@@ -6,7 +6,8 @@ postings of the templates, places are subtracted, and a
 template is a candidate where enough of its words agree on where it would begin. It is reported if all its key phrases
 stand at their places relative to that beginning. The base phrases are read off the same key phrase places.
 
-Null and empty texts have no words and no labels. Repeated rows are judged alike.
+Null and empty texts have no words and no labels. Repeated rows are judged alike, texts of any length whole. An empty
+table gives no rows. Two columns are read, whatever the others are named.
 """
 
 from __future__ import annotations

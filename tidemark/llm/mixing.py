@@ -3,6 +3,8 @@
 A document's size is its number of words (runs of characters other than blank and 0x09 to 0x0D); null counts as none.
 Sources are ranked by code point with null last and weigh in turn by ``weights``. A source without words has the
 target 0 and its documents are taken no times. Rows that repeat are drawn alike, as the draw depends on content only.
+Texts of any length count whole. An empty table has no sources and gives no rows. Documents travel as one struct, so their
+columns may have any names.
 """
 
 from __future__ import annotations

@@ -4,7 +4,8 @@ Patterns find e-mail addresses, IP addresses, card and phone numbers, leftmost a
 that fails its check is dropped. The field reads the words (runs other than blank and 0x09 to 0x0D) of each line as
 one chain and adds spans of its own kinds where no pattern has found anything; it is trained on the driver from a
 small labelled table and applied to batches of lines in numpy. Null and empty texts have no spans; places count code
-points, ends are exclusive; repeated rows give the same spans.
+points, ends are exclusive; repeated rows give the same spans. Texts of any length are read whole. An empty table gives no
+rows. Two columns are read, whatever the others are named.
 """
 
 from __future__ import annotations

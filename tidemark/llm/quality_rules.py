@@ -1,7 +1,8 @@
 """Quality rules: a threshold table compiled into one projection of Spark functions.
 
 A word is a run of characters other than blank and 0x09 to 0x0D; a line ends at ``\\n``. Null counts as an empty
-text: no words, no lines with a word, rejected for want of words.
+text: no words, no lines with a word, rejected for want of words. Texts of any length are measured whole, repeated rows
+alike. An empty table gives no rows. Documents travel as one struct, so their columns may have any names.
 """
 
 from __future__ import annotations

@@ -3,9 +3,11 @@
 The first pass writes every row with the bucket that a seeded hash gives it. The second permutes each bucket by
 Spark's ``shuffle`` function, a seeded Fisher-Yates shuffle, over row numbers only: rows stay in a spilling sort, and
 a bucket costs memory for one number per row. Positions run on through all buckets and are dealt to shards in turn,
-so shard counts differ by at most one and slots have no gaps. The order depends on seed and data, and on how rows
-repeat, not on the cluster. Null keys and texts are hashed like any value; rows equal in all columns are told apart
-by their place in the table. An empty table gives no rows. A column named ``shard`` or ``slot`` is replaced.
+so shard counts differ by at most one and slots have no gaps. The order depends on the seed, on the data and, since rows
+equal in all columns are told apart by their place, on how the table is split into tasks: the same stored table read by
+the same cluster gives the same order, a table dealt anew may not. Null keys and texts are hashed like any value. Texts of
+any length go through whole; one larger than a bucket makes that bucket larger. An empty table gives no rows. Columns may
+have any names; one named ``shard`` or ``slot`` is replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ BLOCK = 1024
 
 def scattered(docs: DataFrame, text: str, payload: DataFrame, bucket_bytes: int, seed: int) -> tuple[DataFrame, int]:
     """First pass: ``payload`` rows with ``s_bucket`` and ``s_order``, written; and the number of buckets."""
-    total = docs.agg(F.sum(F.octet_length(docs[text]) + 1)).first()[0] or 0
+    total = docs.agg(F.sum(F.coalesce(F.octet_length(docs[text]), F.lit(0)).cast("long") + 1)).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
     return staged(payload.withColumn("s_bucket", F.pmod("s_order", F.lit(buckets))), "sharding-scatter"), buckets
 

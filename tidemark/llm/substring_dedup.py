@@ -7,8 +7,10 @@ occurrence of each fragment of an anchor with several, is extended by doubling:
 another document go on to 16, cut to 13, and stop there, since a longer repeat is a chain of 13-word ones.
 
 Words are runs other than blank and 0x09 to 0x0D, taken unchanged. A window counts as repeated in a document if its
-words also start in one with a smaller id; ids that are null count as greater than all others, and rows with one id
-do not repeat each other. Null, empty and short texts have no windows and stay as they are.
+words also start in one with a smaller id; ids that are null count like the greatest possible one, and rows with one id
+do not repeat each other. Null, empty and short texts have no windows and stay as they are. Long texts are read in parts,
+with windows across them. An empty table gives no rows. Two columns are read, whatever the others are named. Windows are
+compared by hashes of 64 bits of their words, which are not held against the words again.
 """
 
 from __future__ import annotations
@@ -156,6 +158,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     """(key, n_words, n_removed, kept): the words left of every document, joined by one blank."""
     rows = fragments.numbered(docs, text, F.coalesce(docs[key].cast("long"), F.lit(_LAST)))
     spans = repeated_spans(rows, width, anchor, family)
+    named = fragments.numbered(docs, text, docs[key].cast("long"))
 
     def run(batches):
         for batch in batches:
@@ -170,9 +173,8 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
                     kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode())
                     n_words.append(len(words))
                     n_removed.append(int(gone.sum()))
-                keys = [None if k == _LAST else k for k in piece.column("key").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                    [piece.column("key"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
                     names=["key", "n_words", "n_removed", "kept"])
 
-    return fragments.with_texts(rows, spans, "left").mapInArrow(run, "key long, n_words long, n_removed long, kept string")
+    return fragments.with_texts(named, spans, "left").mapInArrow(run, "key long, n_words long, n_removed long, kept string")

@@ -10,7 +10,8 @@ shards, each shard is transformed, and the transforms are merged by interleave r
 ``family`` would make a task grow with the data; its strings are counted by hash instead.
 
 Texts are taken as UTF-8; null counts as empty. Matches never cross documents, rows that repeat are removed whole, and
-texts shorter than ``width`` stay. What is left of a character that is cut is kept as bytes.
+texts shorter than ``width`` stay. What is left of a character that is cut is kept as bytes. Texts of any length count
+whole. An empty table gives no rows. Two columns are read, whatever the others are named.
 """
 
 from __future__ import annotations

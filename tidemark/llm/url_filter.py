@@ -2,7 +2,8 @@
 
 A term counts where no letter or digit touches it. A url is blocked for one strict term or for several distinct soft
 ones. A null url has no host, no path, no terms and is allowed; so is an empty one. Host and path are empty without
-``://``, the vocabulary still reads the whole url. Repeated rows are judged alike.
+``://``, the vocabulary still reads the whole url, however long. Repeated rows are judged alike. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
