@@ -63,7 +63,11 @@ class SlidingView:
             panes = self.panes.read(batch_id + 1)
             near = panes.where(F.col("pane").between(_at(low) - reach, _at(high) + reach))
             again = self._summed(near).where(F.col("window_start").between(_at(low) - reach, _at(high)))
-            self.windows.add(again.orderBy(*order), batch_id)
+            again.persist()  # a sort reads its input twice
+            try:
+                self.windows.add(again.orderBy(*order), batch_id)
+            finally:
+                again.unpersist()
             shown = self.newest.read(batch_id).agg(F.unix_micros(F.max("window_end"))).first()[0]
             last = F.greatest(_at(high) + F.expr(f"INTERVAL {self.slide}"), _at(shown))
             ending = panes.where((F.col("pane") >= last - F.expr(f"INTERVAL {self.size}")) & (F.col("pane") < last))
