@@ -15,11 +15,13 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.oracle import compare
 from tidemark.llm import bwt, components, decontaminate, fragments, licenses, mixing, pii, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, tokens, url_filter
 from tidemark.llm.queries import ORACLES, QUERIES
+from tidemark.session import settings as session_settings
 
 WORDS = "alpha beta gamma delta the of and é ñu Zeta x".split()
 
@@ -378,6 +380,28 @@ def test_repeated_words_equal_brute_force(docs, options):
     assert Counter((r["key"], r["n_words"], r["n_removed"], r["kept"]) for r in found) == Counter(wanted)
 
 
+@pytest.mark.parametrize("operator", [lambda d: suffix_dedup.without_repeats(d, width=40, anchor=9, stored=True), lambda d: substring_dedup.without_repeats(d, stored=True)])
+def test_a_stored_table_may_be_split_anew_between_steps(spark, docs, tmp_path, operator):
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    table = spark.read.parquet(str(tmp_path / "docs"))
+    wanted = sorted(map(str, operator(table).collect()))
+    found = operator(table)
+    with session_settings(spark, spark__sql__files__maxPartitionBytes=500, spark__sql__files__openCostInBytes=1):
+        assert table.rdd.getNumPartitions() > 10
+        assert sorted(map(str, found.collect())) == wanted
+
+
+def test_rows_of_a_stored_table_have_one_number_each(spark, docs, tmp_path):
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    table = spark.read.parquet(str(tmp_path / "docs")).withColumns({"path": F.lit(1), "file": F.lit(2), "place": F.lit(3), "_metadata": F.lit(4)})
+    numbers = lambda: sorted((r.row, r.text or "") for r in fragments.numbered(table, "text", "doc_id", stored=True).collect())
+    first = numbers()
+    with session_settings(spark, spark__sql__files__maxPartitionBytes=500, spark__sql__files__openCostInBytes=1):
+        assert numbers() == first
+    assert len({row for row, _ in first}) == len(first) == docs.count()
+    assert {row >> 36 for row, _ in first} == {0, 1, 2}
+
+
 def test_fragments_cover_every_window_once():
     rng = np.random.default_rng(1)
     symbols, bounds = rng.integers(0, 3, 500).astype(np.uint64), np.array([0, 100, 100, 107, 500])

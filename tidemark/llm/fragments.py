@@ -13,13 +13,16 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.staging import staged
 from tidemark.llm.tokens import RangeHashes, pieces
 
 #: The lowest bits of an anchor's sort key hold its place, so that the leftmost of equals is least.
 _PLACE = np.uint64((1 << 24) - 1)
+#: Bits of a row's number that hold its place in its file: 69 billion rows a file, 134 million files.
+_IN_FILE = 36
 
 
 def _running_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -66,9 +69,23 @@ def fragments_of(symbols: np.ndarray, bounds: np.ndarray, width: int, anchor: in
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def numbered(docs: DataFrame, text: str, key: Column) -> DataFrame:
-    """(row, key, text): rows are named by their place in the table, which has to give them in one order on each read."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), key.alias("key"), docs[text].alias("text"))
+def numbered(docs: DataFrame, text: str, key: str, stored: bool = False) -> DataFrame:
+    """(row, key, text), with one number per row that is the same in every job, however a job's scan is split.
+
+    A row of a ``stored`` table, that is a Parquet table or columns and rows picked from one, is named by its file and
+    its place in the file. The files are numbered once; there is one row per file, of which Spark's driver holds a list
+    already, so this table is broadcast. Any other frame is written with its numbers first.
+    """
+    columns = [docs[key].cast("long").alias("key"), docs[text].alias("text")]
+    if not stored:
+        return staged(docs.select(F.monotonically_increasing_id().alias("row"), *columns), "numbered")
+    where = docs.metadataColumn("_metadata")
+    path, place = where.getField("file_path"), where.getField("row_index")
+    one_each = docs.select(path.alias("path")).distinct().coalesce(1)
+    files = staged(one_each.select("path", F.monotonically_increasing_id().alias("file")), "files")
+    placed = docs.select(path.alias("in_file"), place.alias("place"), *columns)
+    row = F.shiftleft("file", _IN_FILE).bitwiseOR(F.col("place"))
+    return placed.join(F.broadcast(files), F.col("in_file") == F.col("path")).select(row.alias("row"), "key", "text")
 
 
 def _columns(piece: pa.RecordBatch, symbols_of: Callable, width: int, anchor: int):

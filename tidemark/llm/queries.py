@@ -85,14 +85,14 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @registered("op9_substring_dedup", oracles.REPEATED_WORDS)
 def repeated_words(spark: SparkSession, folder: str) -> DataFrame:
     """Words of each document that a document with a smaller id has in a window of 13."""
-    found = substring_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    found = substring_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"), stored=True)
     return found.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @registered("op8_suffix_dedup", oracles.REPEATED_BYTES)
 def repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes of each document that strings of 200 bytes cover which start elsewhere too."""
-    found = suffix_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    found = suffix_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"), stored=True)
     return found.select(F.col("key").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

@@ -154,11 +154,14 @@ def repeated_spans(rows: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, fa
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, anchor: int = ANCHOR,
-                    family: int = FAMILY) -> DataFrame:
-    """(key, n_words, n_removed, kept): the words left of every document, joined by one blank."""
-    rows = fragments.numbered(docs, text, F.coalesce(docs[key].cast("long"), F.lit(_LAST)))
+                    family: int = FAMILY, stored: bool = False) -> DataFrame:
+    """(key, n_words, n_removed, kept): the words left of every document, joined by one blank.
+
+    ``stored`` says that ``docs`` are rows of a Parquet table, whose places name them; other frames are written once.
+    """
+    named = fragments.numbered(docs, text, key, stored)
+    rows = named.withColumn("key", F.coalesce("key", F.lit(_LAST)))
     spans = repeated_spans(rows, width, anchor, family)
-    named = fragments.numbered(docs, text, docs[key].cast("long"))
 
     def run(batches):
         for batch in batches:

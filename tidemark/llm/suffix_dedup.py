@@ -174,12 +174,13 @@ def repeated_spans(rows: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, gr
     return whole.unionByName(single.select("row", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end")))
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """(key, n_bytes, n_removed, n_spans, kept, kept_sha256): the bytes left of every document."""
-    named = docs.select(docs[key].cast("long").alias("key"), docs[text].alias("text"))
-    number = F.monotonically_increasing_id()
-    rows = fragments.numbered(named, "text", number)
-    spans = repeated_spans(rows, **options)
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", stored: bool = False, **options) -> DataFrame:
+    """(key, n_bytes, n_removed, n_spans, kept, kept_sha256): the bytes left of every document.
+
+    ``stored`` says that ``docs`` are rows of a Parquet table, whose places name them; other frames are written once.
+    """
+    rows = fragments.numbered(docs, text, key, stored)
+    spans = repeated_spans(rows.withColumn("key", F.col("row")), **options)
     schema = "key long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
 
     def run(batches):
@@ -200,5 +201,4 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **
                     [piece.column("key"), *columns, pa.array(kept, pa.binary()), pa.array([hashlib.sha256(k).hexdigest() for k in kept])],
                     names=["key", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    placed = named.withColumn("row", number).select("row", "key", "text")
-    return fragments.with_texts(placed, spans, "left").mapInArrow(run, schema)
+    return fragments.with_texts(rows, spans, "left").mapInArrow(run, schema)
