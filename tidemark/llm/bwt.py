@@ -61,35 +61,68 @@ def _ranks(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
 
 def merged(first: Shard, second: Shard, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Which places of the common order by ``depth`` bytes belong to the second shard, and the common prefix of each
-    place with the one before (``depth`` if it is that long or longer)."""
+    place with the one before (``depth`` if it is that long or longer).
+
+    The suffixes that share their first h bytes are a block: a range of places in each shard, those of the first shard
+    ahead. A block that a round leaves as it was sends its suffixes to where they are already, so a round refines only
+    by the blocks that the one before made.
+    """
+    shards = (first, second)
     size, marks = len(first.transform) + len(second.transform), first.strings + second.strings
-    of_second = np.zeros(size, bool)
-    of_second[len(first.transform):] = True
-    top = np.zeros(marks, bool)
-    top[first.strings:] = True
-    parted = np.zeros(size, bool)
-    block = np.zeros(size, np.int32)
+    # By byte, then place: how many entries are less than (byte, place) is where that byte before that place leads.
+    ranked = [np.sort(_keyed(s.transform, np.arange(len(s.transform)), len(s.transform))) for s in shards]
+    parted = np.zeros(size + 1, bool)
+    parted[size] = True
+    ahead = np.zeros(size + 1, np.int64)
+    ahead[size] = len(first.transform)
     prefix = np.full(size, depth, np.int32)
-    row = np.empty(size, np.uint8)
-    sizes = np.bincount(first.transform, minlength=256) + np.bincount(second.transform, minlength=256)
-    heads = (np.cumsum(sizes) - sizes)[sizes > 0]
+    byte = np.unique(np.concatenate([first.transform, second.transform]))
+    byte, mark = byte[byte > 0], np.arange(marks)
+    edges = [(np.clip(mark - skip, 0, s.strings), np.clip(mark + 1 - skip, 0, s.strings)) for s, skip in zip(shards, (0, first.strings))]
+    blocks = [np.concatenate([edge, np.searchsorted(ranks, _keyed(byte + n, 0, len(ranks)))])
+              for ranks, pair in zip(ranked, edges) for n, edge in enumerate(pair)]
     for length in range(1, depth + 1):
-        row[of_second] = second.transform
-        row[~of_second] = first.transform
-        order = np.argsort(row, kind="stable")
-        blocks = block[order]
-        fresh = np.empty(size, bool)
-        np.not_equal(blocks[1:], blocks[:-1], out=fresh[1:])
-        fresh[heads] = True
-        fresh[:marks] = True
-        of_second = of_second[order]
-        of_second[:marks] = top
-        prefix[fresh > parted] = length - 1
-        parted = fresh
-        block = np.cumsum(fresh, dtype=np.int32)
+        begin, end = blocks[0] + blocks[2], blocks[1] + blocks[3]
+        made = ~(parted[begin] & parted[end])
+        blocks = [edge[made] for edge in blocks]
+        begin = begin[made]
+        if not len(begin):
+            break
+        fresh = ~parted[begin]
+        prefix[begin[fresh]] = length - 1
+        parted[begin] = True
+        ahead[begin] = blocks[0]
+        blocks = _led(shards, ranked, blocks)
+    heads = np.flatnonzero(parted[:size])
+    share = np.diff(ahead[np.append(heads, size)])
+    of_second = np.arange(size) - np.repeat(heads, np.diff(np.append(heads, size))) >= np.repeat(share, np.diff(np.append(heads, size)))
     return of_second, prefix
 
 
+def _keyed(byte: np.ndarray, place: np.ndarray | int, size: int) -> np.ndarray:
+    return np.asarray(byte).astype(np.int64) * (size + 1) + place
+
+
+def _led(shards: tuple[Shard, Shard], ranked: list[np.ndarray], blocks: list[np.ndarray]) -> list[np.ndarray]:
+    """The blocks that each byte (end marks left out) before the suffixes of ``blocks`` leads to, in order like them."""
+    seen, number = [], len(blocks[0])
+    for which, (shard, begin, end) in enumerate(zip(shards, blocks[::2], blocks[1::2])):
+        many = end - begin
+        owner = np.repeat(np.arange(number), many)
+        place = np.arange(len(owner)) + np.repeat(begin - (np.cumsum(many) - many), many)
+        before = shard.transform[place].astype(np.int64)
+        seen.append(((before * number + owner) * 2 + which)[before > 0])
+    every = np.sort(np.concatenate(seen))
+    if not len(every):
+        return [every] * 4
+    first = np.flatnonzero(np.diff(every >> 1, prepend=-1))
+    byte, owner = np.divmod(every[first] >> 1, number)
+    of_second = np.add.reduceat(every & 1, first)
+    of_first = np.diff(np.append(first, len(every))) - of_second
+    begins = [np.searchsorted(ranks, _keyed(byte, begin[owner], len(ranks))) for ranks, begin in zip(ranked, blocks[::2])]
+    return [begins[0], begins[0] + of_first, begins[1], begins[1] + of_second]
+
+
 def repeated_places(strings: list[bytes], depth: int) -> np.ndarray:
     """Places in the joined strings (one end mark after each) where ``depth`` bytes start that also start elsewhere."""
     half = (len(strings) + 1) // 2
