@@ -363,6 +363,20 @@ def test_merged_transforms_find_what_starts_twice(texts, depth):
     assert bwt.repeated_places(strings, depth).tolist() == [i for i in starts if counts[joined[i:i + depth]] > 1]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abé", max_size=20), min_size=2, max_size=8), st.integers(1, 12))
+def test_a_merge_gives_the_common_order_and_prefixes(texts, depth):
+    strings = [t.encode() for t in texts]
+    half = (len(strings) + 1) // 2
+    suffixes = [(s[i:], i == len(s), n) for n, s in enumerate(strings) for i in range(len(s) + 1)]
+    # By their first bytes, an end before all others and ends in the order of the strings; then the first shard's ahead.
+    suffixes.sort(key=lambda x: ([b + len(strings) for b in x[0][:depth]] + ([x[2]] if len(x[0]) < depth else []), x[2] >= half))
+    common = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b), depth))
+    of_second, prefix = bwt.merged(bwt.transform(strings[:half]), bwt.transform(strings[half:]), depth)
+    assert of_second.tolist() == [n >= half for _, _, n in suffixes]
+    assert prefix.tolist() == [0] + [min(depth, common(a[0], b[0])) for a, b in zip(suffixes, suffixes[1:])]
+
+
 @pytest.mark.parametrize("options", [{}, {"family": 1}, {"width": 5, "anchor": 2}])
 def test_repeated_words_equal_brute_force(docs, options):
     width, rows = options.get("width", 13), made(3)
