@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -424,6 +425,30 @@ def test_fragments_cover_every_window_once():
     assert covered == [(0, i) for i in range(81)] + [(3, i) for i in range(374)]
 
 
+@pytest.mark.parametrize("part", [1, 30, 64])
+def test_long_texts_are_cut_to_parts_that_lose_no_window(monkeypatch, part):
+    rng = np.random.default_rng(2)
+    symbols, bounds = rng.integers(0, 3, 500).astype(np.uint64), np.array([0, 100, 100, 107, 500])
+    whole = fragments.fragments_of(symbols, bounds, 20, 5)[0].tolist()
+    monkeypatch.setattr(fragments, "PART", part)
+    anchors, _, text, starts, lengths = fragments.fragments_of(symbols, bounds, 20, 5)
+    covered = sorted((int(t), int(s) + k) for t, s, n in zip(text, starts, lengths) for k in range(n - 19))
+    assert covered == [(0, i) for i in range(81)] + [(3, i) for i in range(374)]
+    assert set(whole) == set(anchors.tolist())
+
+
+def test_memory_of_fragments_does_not_grow_with_the_text():
+    """Some fifteen arrays of 8 bytes a symbol are held for a part of the text, never for all of it."""
+    symbols = np.random.default_rng(3).integers(0, 64, 4_000_000).astype(np.uint8)
+    tracemalloc.start()
+    try:
+        fragments.fragments_of(symbols, np.array([0, len(symbols)]), 200, 40)
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak < 250_000_000
+
+
 # 1 -----------------------------------------------------------------------------------------------------------------
 
 BASE = {

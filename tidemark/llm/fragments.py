@@ -23,6 +23,11 @@ from tidemark.llm.tokens import RangeHashes, pieces
 _PLACE = np.uint64((1 << 24) - 1)
 #: Bits of a row's number that hold its place in its file: 69 billion rows a file, 134 million files.
 _IN_FILE = 36
+#: Symbols that are hashed together, and bytes of whole texts that are handled together: some twenty arrays of 8 bytes a symbol
+#: are held meanwhile, so this sets a task's memory.
+PART, PIECE_BYTES = 1 << 20, 1_000_000
+#: Bytes of fragments (24 each) that are summed before the shuffle.
+SUMMED_BYTES = 4_000_000
 
 
 def _running_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -40,21 +45,21 @@ def fragments_of(symbols: np.ndarray, bounds: np.ndarray, width: int, anchor: in
     """(anchor hash, fragment hash, text, start, length) of each fragment of texts that lie end to end in ``symbols``.
 
     ``bounds`` says where each text begins (one more entry for the end); starts are counted from the text's own.
-    Long stretches are handled in overlapping parts of 2**22 symbols, which sets memory and cuts no window.
+    Long stretches are handled in overlapping parts of PART symbols, which sets memory and cuts no window.
     """
-    hashes = RangeHashes(symbols)
     found = []
-    part = 1 << 22
+    part = max(PART - width, width)
     for at in range(0, max(0, len(symbols) - width + 1), part):
         stop = min(len(symbols), at + part + width - 1)
-        places = np.arange(at, stop - anchor + 1)
+        hashes = RangeHashes(symbols[at:stop])
+        places = np.arange(stop - at - anchor + 1)
         keys = hashes.of(places, places + anchor)
-        order = (keys & ~_PLACE) | (places - at).astype(np.uint64)
+        order = (keys & ~_PLACE) | places.astype(np.uint64)
         least = _running_least(order, width - anchor + 1)
-        chosen = (least & _PLACE).astype(np.int64) + at
-        windows = np.arange(at, at + len(chosen))
-        text = np.searchsorted(bounds, windows, side="right") - 1
-        whole = windows + width <= bounds[text + 1]
+        chosen = (least & _PLACE).astype(np.int64)
+        windows = np.arange(len(chosen))
+        text = np.searchsorted(bounds, windows + at, side="right") - 1
+        whole = windows + (at + width) <= bounds[text + 1]
         windows, chosen, text = windows[whole], chosen[whole], text[whole]
         if not len(windows):
             continue
@@ -63,7 +68,7 @@ def fragments_of(symbols: np.ndarray, bounds: np.ndarray, width: int, anchor: in
         first = np.flatnonzero(new)
         last = np.concatenate([first[1:], [len(windows)]]) - 1
         starts, ends = windows[first], windows[last] + width
-        found.append((keys[chosen[first] - at], hashes.of(starts, ends), text[first], starts - bounds[text[first]], ends - starts))
+        found.append((keys[chosen[first]], hashes.of(starts, ends), text[first], starts + at - bounds[text[first]], ends - starts))
     if not found:
         return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(x) for x in zip(*found))
@@ -99,16 +104,25 @@ def _columns(piece: pa.RecordBatch, symbols_of: Callable, width: int, anchor: in
 def summed(rows: DataFrame, symbols_of: Callable, width: int, anchor: int) -> DataFrame:
     """Per distinct fragment: anchor, fragment, least (of keys), most, n (occurrences), kinds (fragments of the anchor).
 
-    Only fragments are returned that occur twice or share their anchor. Each batch is summed before the shuffle, so
-    a fragment that is everywhere arrives as one row per batch.
+    Only fragments are returned that occur twice or share their anchor. Batches are summed before the shuffle, so
+    a fragment that is everywhere arrives as one row per SUMMED_BYTES of fragments.
     """
+    def together(found):
+        return pa.concat_tables(found).group_by(["anchor", "fragment"]).aggregate(
+            [("key", "min"), ("key", "max"), ("key", "count")]).select([0, 1, 2, 3, 4]).rename_columns(
+            ["anchor", "fragment", "least", "most", "n"]).to_batches()
+
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            found = []
+            for piece in pieces(batch, "text", PIECE_BYTES):
                 anchors, prints, _, keys, _, _ = _columns(piece, symbols_of, width, anchor)
-                yield from pa.table({"anchor": anchors, "fragment": prints, "key": keys}).group_by(["anchor", "fragment"]).aggregate(
-                    [("key", "min"), ("key", "max"), ("key", "count")]).select([0, 1, 2, 3, 4]).rename_columns(
-                    ["anchor", "fragment", "least", "most", "n"]).to_batches()
+                found.append(pa.table({"anchor": anchors, "fragment": prints, "key": keys}))
+                if sum(some.nbytes for some in found) >= SUMMED_BYTES:
+                    yield from together(found)
+                    found = []
+            if found:
+                yield from together(found)
 
     parts = rows.mapInArrow(run, "anchor long, fragment long, least long, most long, n long").repartition("anchor")
     whole = parts.groupBy("anchor", "fragment").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n"))
@@ -120,7 +134,7 @@ def occurrences(rows: DataFrame, symbols_of: Callable, width: int, anchor: int,
     """Every place of the ``wanted`` fragments: (row, key, start, length) and the columns of ``wanted``."""
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE_BYTES):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) if isinstance(x, np.ndarray) else x for x in _columns(piece, symbols_of, width, anchor)],
                     names=["f_anchor", "f_fragment", "row", "key", "start", "length"])

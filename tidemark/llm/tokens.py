@@ -27,12 +27,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
-def pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about PIECE_BYTES of text each."""
+def pieces(batch: pa.RecordBatch, column: str, size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text each."""
     _, offsets = flat(batch.column(column))
     start, rows = 0, batch.num_rows
     while start < rows:
-        end = int(np.searchsorted(offsets, offsets[start] + PIECE_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[start] + size, side="right")) - 1
         end = min(max(end, start + 1), rows)
         yield batch.slice(start, end - start)
         start = end
