@@ -78,15 +78,16 @@ def numbered(docs: DataFrame, text: str, key: str, stored: bool = False) -> Data
     """(row, key, text), with one number per row that is the same in every job, however a job's scan is split.
 
     A row of a ``stored`` table, that is a Parquet table or columns and rows picked from one, is named by its file and
-    its place in the file. The files are numbered once; there is one row per file, of which Spark's driver holds a list
-    already, so this table is broadcast. Any other frame is written with its numbers first.
+    its place in the file. The files are numbered once, in the order of their paths;
+    there is one row per file, of which Spark's driver holds a list already, so this table is broadcast. Any other frame
+    is written with its numbers first.
     """
     columns = [docs[key].cast("long").alias("key"), docs[text].alias("text")]
     if not stored:
         return staged(docs.select(F.monotonically_increasing_id().alias("row"), *columns), "numbered")
     where = docs.metadataColumn("_metadata")
     path, place = where.getField("file_path"), where.getField("row_index")
-    one_each = docs.select(path.alias("path")).distinct().coalesce(1)
+    one_each = docs.select(path.alias("path")).distinct().repartition(1).sortWithinPartitions("path")
     files = staged(one_each.select("path", F.monotonically_increasing_id().alias("file")), "files")
     placed = docs.select(path.alias("in_file"), place.alias("place"), *columns)
     row = F.shiftleft("file", _IN_FILE).bitwiseOR(F.col("place"))
