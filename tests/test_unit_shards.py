@@ -10,8 +10,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.test_unit_processors import MS, Handle, accepted, arrivals, in_order
+from tests.test_unit_processors import MS, RULES, Handle, accepted, arrivals, in_order
 from tests.unit_simulation import walk_key
+from tidemark.operators import units as batch_units
 from tidemark.operators.unit_rules import UnitRule
 from tidemark.streaming import shards
 from tidemark.streaming import units as stream_units
@@ -48,6 +49,27 @@ def of_each_key(rows):
     return {f"k{k}": [row for row in rows if row[1] % 4 == k] for k in range(4)}.items()
 
 
+@settings(max_examples=400, deadline=None)
+@given(arrivals(), st.integers(1, 6), RULES, CHUNKS)
+def test_units_of_all_keys_of_a_shard(arrived, size, bound, chunks):
+    late, triggers = arrived
+    triggers = accepted(late, triggers)
+    kind, length = bound[0], bound[1] * MS
+    found, handle, watermark = run(shards.ShardUnits(UnitRule(size, **{kind: length}), "string"), triggers, late, chunks)
+    expected, still_open = [], 0
+    for key, rows in of_each_key(in_order(triggers, watermark)):
+        units = list(walk_key(rows, size, **{kind: length})) if rows else []
+        for unit in units:
+            first, last = unit[0][0], unit[-1][0]
+            if len(unit) == size or (last if kind == "idle" else first) + length <= watermark or unit is not units[-1]:
+                expected.append((key, len(unit), first, last))
+            else:
+                still_open += 1
+    assert sorted(found) == sorted(expected)
+    assert sum(len(value[0]) for value in handle.states["held"].entries.values()) == still_open
+    assert len(handle.timers) == (handle.states["clock"].value is not None)
+
+
 @settings(max_examples=400, deadline=None)
 @given(arrivals(), st.integers(1, 6), CHUNKS)
 def test_members_of_all_keys_of_a_shard(arrived, size, chunks):
@@ -62,6 +84,21 @@ def test_members_of_all_keys_of_a_shard(arrived, size, chunks):
     assert len(handle.timers) == (handle.states["clock"].value is not None)
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+@pytest.mark.parametrize("limit", [{"idle": timedelta(seconds=40)}, {"deadline": timedelta(seconds=90)}])
+def test_null_and_large_keys(spark, kind, limit):
+    """A null key is a key of its own, and whole numbers beyond 53 bits stay as they are beside it."""
+    keys = [None, 0, 2**62 + 1, 2**62 + 2, -(2**62) - 1]
+    rows = spark.createDataFrame([(keys[i * 7 % 5], BASE + 10_000_000 * i, i) for i in range(300)], "key bigint, us bigint, id bigint")
+    rows = rows.select(F.col("key").cast(kind).alias("key"), F.timestamp_micros("us").alias("ts"), "id")
+    found = replay_in_slices(rows, "ts", lambda s: stream_units.units(s, "key", "ts", 3, **limit), partial(replay, mode="append", partitions=2), least=3)
+    expected = batch_units.units(rows, "key", "ts", "id", 3, flush=False, **limit)
+    columns = ["key", "n", "status", "first_ts", "last_ts"]
+    assert found.schema["key"].dataType.simpleString() == kind
+    ours, theirs = (sorted(map(str, frame.select(*columns).collect())) for frame in (found, expected))
+    assert ours == theirs and any("key=None" in row for row in ours)
+
+
 def test_members_of_null_keys(spark):
     rows = spark.createDataFrame([(None if i % 2 else 2**62 + 1, BASE + 1_000_000 * i, i, None if i % 3 else f"p{i}") for i in range(60)], "key bigint, us bigint, id bigint, p string")
     rows = rows.select("key", F.timestamp_micros("us").alias("ts"), "id", "p")
