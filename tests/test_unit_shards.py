@@ -84,6 +84,24 @@ def test_members_of_all_keys_of_a_shard(arrived, size, chunks):
     assert len(handle.timers) == (handle.states["clock"].value is not None)
 
 
+@settings(max_examples=600, deadline=None)
+@given(arrivals(), st.integers(1, 4), st.integers(1, 9), st.integers(0, 9), CHUNKS)
+def test_first_units_of_all_keys_of_a_shard(arrived, size, deadline, forget, chunks):
+    late, triggers = arrived
+    triggers = accepted(late, triggers)
+    found, handle, watermark = run(shards.ShardOnce(size, deadline * MS, forget * MS, "string"), triggers, late, chunks)
+    expected = []
+    for key, rows in of_each_key(in_order(triggers, watermark)):
+        while rows:
+            first = rows[0][0]
+            unit = [us for us, _ in rows if us < first + deadline * MS][:size]
+            if len(unit) == size:
+                expected.append((key, size, first, unit[-1]))
+            rows = [row for row in rows if row[0] > first + (deadline + forget) * MS]
+    assert sorted(found) == sorted(expected)
+    assert len(handle.timers) == (handle.states["clock"].value is not None)
+
+
 @pytest.mark.parametrize("kind", ["bigint", "string"])
 @pytest.mark.parametrize("limit", [{"idle": timedelta(seconds=40)}, {"deadline": timedelta(seconds=90)}])
 def test_null_and_large_keys(spark, kind, limit):
